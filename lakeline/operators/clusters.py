@@ -74,7 +74,11 @@ def lda_quality(model, df: DataFrame) -> DataFrame:
 
 
 def fit_gaussian_mixture(df: DataFrame, k: int = 2, seed: int = 1, features: str = "features"):
-    """A mixture of ``k`` normal distributions."""
+    """A mixture of ``k`` normal distributions.
+
+    Needs many more rows than dimensions: a component left with too few rows
+    has no covariance and the fit does not end. Project wide vectors first.
+    """
     with cached(df.select(features)) as rows:
         return GaussianMixture(k=k, seed=seed, featuresCol=features).fit(rows)
 

@@ -123,12 +123,12 @@ def _add(state: tuple, values: pd.Series) -> tuple:
 
 @query(
     "mergeable_aggregate",
-    "SELECT l_suppkey, round(avg(l_extendedprice), 6) AS mean FROM lineitem GROUP BY l_suppkey",
+    "SELECT l_suppkey, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY l_suppkey",
 )
 def mergeable(spark, folder):
-    items = table(spark, folder, "lineitem", "l_suppkey", "l_extendedprice")
+    items = table(spark, folder, "lineitem", "l_suppkey", "l_quantity")
     means = mergeable_aggregate(
-        items, "l_suppkey", "l_extendedprice",
+        items, "l_suppkey", "l_quantity",
         zero=lambda: (0.0, 0),
         reduce=_add,
         merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),

@@ -47,20 +47,15 @@ def lsh_nearest(spark, folder):
 
 @query(
     "copy_members",
-    "WITH pages_of AS (SELECT l_quantity AS x, l_linenumber AS y, "
-    "l_orderkey * 10 + l_linenumber AS id FROM lineitem) "
-    "SELECT count(*) AS rows, count(DISTINCT (x, y)) AS vectors FROM pages_of",
+    "SELECT min(event_id) OVER (PARTITION BY user_id, event_type) AS id, event_id AS member "
+    "FROM events",
 )
 def copy_members(spark, folder):
-    items = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    points = items.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        vx.as_vector(F.array("l_quantity", F.col("l_linenumber").cast("double"))).alias("v"),
-    )
-    found = ops.members(points, "id", "v")
-    return found.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("vectors")
-    )
+    events = table(spark, folder, "events", "event_id", "user_id", "event_type")
+    slots = F.array(F.col("user_id").cast("double"), F.length("event_type").cast("double"),
+                    F.ascii("event_type").cast("double"))
+    points = events.select("event_id", vx.as_vector(slots).alias("v"))
+    return ops.members(points, "event_id", "v")
 
 
 @query(

@@ -52,8 +52,8 @@ def labelled_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    """``vec_id, label double, features vector`` of the embeddings, on all cores."""
-    return spread(table(spark, folder, "embeddings"), "vec_id").select(
+    """``vec_id, label double, features vector`` of the embeddings."""
+    return table(spark, folder, "embeddings").select(
         "vec_id", F.col("label").cast("double").alias("label"),
         vx.as_vector(F.col("embedding")).alias("features"),
     )

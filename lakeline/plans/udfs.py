@@ -21,11 +21,12 @@ def udf_token_count(spark, folder):
 @query("udaf_avg_sql", "SELECT round(avg(o_custkey), 6) AS mean FROM orders")
 def udaf_avg_sql(spark, folder):
     name = register_average(spark)
-    return sql_over(
+    means = sql_over(
         table(spark, folder, "orders", "o_custkey"), "lakeline_student",
-        f"SELECT round({name}(sum(CAST(o_custkey AS DECIMAL(38,0))), count(o_custkey)), 6) "
-        "AS mean FROM lakeline_student",
+        f"SELECT {name}(sum(CAST(o_custkey AS DECIMAL(38,0))), count(o_custkey)) AS mean "
+        "FROM lakeline_student",
     )
+    return means.select(rounded(F.col("mean")).alias("mean"))
 
 
 @query(

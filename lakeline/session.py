@@ -22,6 +22,7 @@ def local_session(app: str = "lakeline", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -47,8 +47,8 @@ def stream_files(
 ) -> DataFrame:
     """A folder of files as a stream; each file is read once.
 
-    ``path`` may also name a single file: written as a pattern it matches a
-    file and a folder alike.
+    ``path`` may also name a single file: the reader wants a folder or a
+    pattern, and as a pattern of one name it matches either.
     """
     if schema is None:
         schema = spark.read.format(file_format).load(path).schema
