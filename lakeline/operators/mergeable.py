@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def mergeable_aggregate(
     value: str,
     *,
     zero: Callable[[], tuple],
-    reduce: Callable[[tuple, pd.Series], tuple],
+    reduce: Callable[[tuple, np.ndarray], tuple],
     merge: Callable[[tuple, tuple], tuple],
     finish: Callable[[tuple], tuple],
     state: str,
@@ -33,8 +34,8 @@ def mergeable_aggregate(
 ) -> DataFrame:
     """A user's aggregate per key: zero, reduce, merge, finish.
 
-    ``reduce`` takes all values of a key in one Arrow batch at a time. States
-    are combined inside each input partition (a full table of ``max_keys``
+    ``reduce`` takes the values of a key in one Arrow batch as an array, without
+    NULLs. States are combined inside each input partition (a full table of ``max_keys``
     states is sent on and started anew), then per key and salt, then per key.
     States arrive sorted by key and are merged as they stream by, so neither a
     key's rows nor its states are ever held together.
@@ -54,9 +55,14 @@ def mergeable_aggregate(
             return pd.DataFrame(rows, columns=[key, *fields])
 
         for batch in batches:
-            for k, values in batch.groupby(key, sort=False, dropna=False)[value]:
-                k = _plain(k)
-                states[k] = reduce(states[k] if k in states else zero(), values)
+            codes, keys = pd.factorize(batch[key], use_na_sentinel=False)
+            order = np.argsort(codes, kind="stable")
+            values, present = batch[value].to_numpy()[order], batch[value].notna().to_numpy()[order]
+            ends = np.cumsum(np.bincount(codes, minlength=len(keys)))
+            for k, begin, end in zip(keys, np.r_[0, ends], ends):
+                k, part = _plain(k), slice(begin, end)
+                seen = values[part] if present[part].all() else values[part][present[part]]
+                states[k] = reduce(states[k] if k in states else zero(), seen)
             if len(states) >= max_keys:
                 yield emit()
         if states:

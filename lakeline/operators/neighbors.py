@@ -71,12 +71,13 @@ def members(df: DataFrame, row_id: str, vector: str) -> DataFrame:
 def _blocks(rows: DataFrame, key: Sequence[str], out: str) -> DataFrame:
     """Keys that hold more than 1/64 of all rows, with the blocks to cut them into.
 
-    There are fewer than 64 such keys, whatever the data: safe to broadcast.
+    There are fewer than 64 such keys, whatever the data: safe to collect and
+    to broadcast.
     """
     counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.count()
-    share = F.col("n") * FAN / F.lit(max(total, 1))
-    return counts.where(share > 1).select(*key, F.ceil(share).cast("int").alias(out))
+    share = F.col("n") * FAN / F.lit(max(rows.count(), 1))
+    hot = counts.where(share > 1).select(*key, F.ceil(share).cast("int").alias(out))
+    return rows.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def _meet(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -84,8 +85,16 @@ def _meet(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
 
     With ``p`` blocks of a key on one side and ``q`` on the other, each row
     goes to one block of its own side and is met by every block of the other,
-    so each pair meets once, in one of ``p * q`` tasks.
+    so each pair meets once, in one of ``p * q`` places. The work grows with
+    pairs, not bytes, so the number of partitions is stated: left to itself
+    Spark would fold small inputs into few tasks.
     """
+    spark = a.sparkSession
+    parts = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        4 * spark.sparkContext.defaultParallelism,
+    )
+    on = [*key, "__i", "__j"]
     hot_a, hot_b = _blocks(a, key, "__p"), _blocks(b, key, "__q")
     hot = hot_a.join(hot_b, list(key), "full").select(
         *key, F.coalesce("__p", F.lit(1)).alias("__p"), F.coalesce("__q", F.lit(1)).alias("__q")
@@ -98,11 +107,11 @@ def _meet(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
         placed = placed.withColumn(own, F.pmod(F.xxhash64(row_id), mine).cast("int"))
         return placed.withColumn(
             other, F.explode(F.sequence(F.lit(0), theirs - 1))
-        ).drop("__p", "__q")
+        ).drop("__p", "__q").repartition(parts, *on)
 
     left = place(a, "id_a", p, "__i", "__j", q)
     right = place(b, "id_b", q, "__j", "__i", p)
-    return left.join(right, [*key, "__i", "__j"])
+    return left.join(right, on)
 
 
 def similarity_join(
@@ -149,11 +158,13 @@ def similarity_join(
     met = _meet(left, right, ["tab", "bucket", "cell"])
     if self_join:
         met = met.where(F.col("id_a") < F.col("id_b"))
-    same = F.zip_with("h_a", "h_b", lambda x, y: x == y)
-    first = F.array_position(same, F.lit(True)) == F.col("tab") + 1
+    met_before = F.lit(False)
+    for table in range(tables - 1):
+        same = F.get("h_a", F.lit(table)) == F.get("h_b", F.lit(table))
+        met_before = met_before | ((F.col("tab") > table) & same)
     distance = F.sqrt(vx.squared_distance(F.col("v_a"), F.col("v_b")))
     return (
-        met.where(first)
+        met.where(~met_before)
         .withColumn("distance", distance)
         .where(F.col("distance") < threshold)
         .select("id_a", "n_a", "id_b", "n_b", "distance")

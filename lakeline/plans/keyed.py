@@ -1,11 +1,12 @@
 """Key-value aggregation and sorting."""
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import functions as F
 
 from lakeline.operators import keyed as ops
 from lakeline.operators.mergeable import mergeable_aggregate
 from lakeline.plans.registry import documents, query, rounded, sql_word_rows
+from lakeline.session import spread
 from lakeline.sources.files import table
 
 
@@ -117,8 +118,8 @@ def sum_and_count_by_key(spark, folder):
     return ops.sum_and_count_by_key(items, "l_returnflag", "l_quantity")
 
 
-def _add(state: tuple, values: pd.Series) -> tuple:
-    return state[0] + float(values.sum()), state[1] + int(values.count())
+def _add(state: tuple, values: np.ndarray) -> tuple:
+    return state[0] + float(values.sum()), state[1] + len(values)
 
 
 @query(
@@ -126,7 +127,7 @@ def _add(state: tuple, values: pd.Series) -> tuple:
     "SELECT l_suppkey, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY l_suppkey",
 )
 def mergeable(spark, folder):
-    items = table(spark, folder, "lineitem", "l_suppkey", "l_quantity")
+    items = spread(table(spark, folder, "lineitem", "l_suppkey", "l_quantity"))
     means = mergeable_aggregate(
         items, "l_suppkey", "l_quantity",
         zero=lambda: (0.0, 0),

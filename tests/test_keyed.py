@@ -64,7 +64,7 @@ def mean_of(df, **settings):
     return mergeable_aggregate(
         df, "k", "v",
         zero=lambda: (0.0, 0),
-        reduce=lambda s, values: (s[0] + float(values.sum()), s[1] + int(values.count())),
+        reduce=lambda s, values: (s[0] + float(values.sum()), s[1] + len(values)),
         merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
         finish=lambda s: (s[0] / s[1],),
         state="total double, n bigint", result="mean double", **settings,
@@ -90,7 +90,7 @@ def test_mergeable_null_key_and_no_rows(spark):
 
 
 def test_custom_average(spark, tmp_path):
-    (tmp_path / "users.json").write_text("\n".join(
+    (tmp_path / "people.json").write_text("\n".join(
         f'{{"name": "{name}", "age":  {age}}}'
         for name, age in (("zhangsan", 20), ("lisi", 30), ("wangwu", 40), ("maliu", 50))
     ))

@@ -68,3 +68,18 @@ def test_libsvm_round_trip(spark, tmp_path):
         assert {(r.label, tuple(r.features.toArray())) for r in back.collect()} == {
             (1.0, (0.0, 2.5, 0.0)), (0.0, (1.0, 0.0, -3.0))
         }
+
+
+def test_worker_code_travels_by_value(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from lakeline.plans.keyed import _add
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_add))
+    code = ("import pickle, numpy; f = pickle.load(open('f.pkl', 'rb')); "
+            "print(f((1.0, 1), numpy.array([2.0, 3.0])))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert "6.0" in out.stdout, out.stderr

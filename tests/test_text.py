@@ -41,7 +41,7 @@ def test_lines_as_the_file_reader_cuts_them(spark, tmp_path):
 
 
 def test_word_count_of_file(spark, tmp_path):
-    (tmp_path / "hello.txt").write_text("\n".join(LINES))
+    (tmp_path / "lines.txt").write_text("\n".join(LINES))
     counts = keyed.word_count(files.read_text_lines(spark, str(tmp_path)), "value").collect()
     assert [(r.word, r.n) for r in counts] == [
         ("world", 1), ("spark", 1), ("scala", 1), ("like", 1), ("java", 1), ("hadoop", 1),
