@@ -6,15 +6,15 @@ import pytest
 from check import duck, same
 
 
-@pytest.fixture(scope="module")
-def connection(folder):
-    return duck(folder)
+# too sparse at the smallest size to have a pair
+LARGER = {"exact_similarity_join": "/root/testdata/sf0.01"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_same_as_sql(spark, folder, connection, name):
+def test_same_as_sql(spark, folder, name):
+    folder = LARGER.get(name, folder)
     result = entry.queries()[name](spark, folder).toPandas()
-    assert same(result, connection.execute(entry.oracle_sql()[name]).df()) == ""
+    assert same(result, duck(folder).execute(entry.oracle_sql()[name]).df()) == ""
     assert len(result) > 0
 
 
