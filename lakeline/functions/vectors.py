@@ -41,9 +41,9 @@ def sparse_sum(vector: Column) -> Column:
 def squared_distance(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two double arrays of equal length."""
     return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
+        F.zip_with(a, b, lambda x, y: x - y),
         F.lit(0.0),
-        lambda total, term: total + term,
+        lambda total, gap: total + gap * gap,
     )
 
 

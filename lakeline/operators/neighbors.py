@@ -156,16 +156,14 @@ def similarity_join(
 
     left, right = keyed(a, "a", False), keyed(b, "b", True)
     met = _meet(left, right, ["tab", "bucket", "cell"])
-    if self_join:
-        met = met.where(F.col("id_a") < F.col("id_b"))
-    met_before = F.lit(False)
+    met_before = F.col("id_a") >= F.col("id_b") if self_join else F.lit(False)
     for table in range(tables - 1):
         same = F.get("h_a", F.lit(table)) == F.get("h_b", F.lit(table))
         met_before = met_before | ((F.col("tab") > table) & same)
+    # one condition, so that the distance is only worked out where it is needed
     distance = F.sqrt(vx.squared_distance(F.col("v_a"), F.col("v_b")))
     return (
-        met.where(~met_before)
-        .withColumn("distance", distance)
+        met.withColumn("distance", F.when(~met_before, distance))
         .where(F.col("distance") < threshold)
         .select("id_a", "n_a", "id_b", "n_b", "distance")
     )

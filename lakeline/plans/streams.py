@@ -2,12 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from lakeline.operators import keyed
 from lakeline.plans.registry import query, sql_word_rows
 from lakeline.session import work_folder
 from lakeline.sources.streams import decode_records, stream_files
 from lakeline.streaming import counts
 from lakeline.streaming.sinks import per_batch, read_sink
-from lakeline.operators import keyed
+
+
+FILES_PER_BATCH = 1000
 
 
 def _replay(spark, start):
@@ -18,7 +21,7 @@ def _replay(spark, start):
 
 
 def _stream(spark, folder, name):
-    return stream_files(spark, f"{folder}/{name}.parquet")
+    return stream_files(spark, f"{folder}/{name}.parquet", files_per_batch=FILES_PER_BATCH)
 
 
 @query(

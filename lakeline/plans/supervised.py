@@ -141,6 +141,10 @@ def linear_regression(spark, folder):
     model = ops.fit_linear_regression(
         text_sizes(spark, folder), reg_param=0.0, elastic_net=0.0, solver="normal"
     )
+    return _linear_row(spark, model)
+
+
+def _linear_row(spark, model):
     fit = model.summary
     row = (float(model.coefficients[0]), model.intercept, fit.r2, fit.rootMeanSquaredError)
     return spark.createDataFrame(
@@ -151,15 +155,26 @@ def linear_regression(spark, folder):
     )
 
 
-@query("linear_regression_elastic_net")
+def _shrunk(shrink: str) -> str:
+    """One-feature fit under a penalty: its standardised slope in closed form."""
+    return (
+        f"WITH {SQL_TEXT_SIZES}, m AS (SELECT corr(y, x) AS r, stddev_pop(x) AS sx, "
+        "stddev_pop(y) AS sy, avg(x) AS mx, avg(y) AS my, CAST(count(*) AS DOUBLE) AS n FROM sizes), "
+        f"b AS (SELECT *, {shrink} * sy / sx AS slope FROM m), "
+        "fit AS (SELECT *, my - slope * mx AS intercept FROM b), "
+        "e AS (SELECT slope, intercept, n, n * sy * sy AS syy, "
+        "(SELECT sum((y - intercept - slope * x) ** 2) FROM sizes) AS sse FROM fit) "
+    )
+
+
+@query(
+    "linear_regression_elastic_net",
+    _shrunk("sign(r) * greatest(abs(r) - 0.3 * 0.8 / sy, 0) / (1 + 0.3 * 0.2 / sy)")
+    + "SELECT round(slope, 5) AS slope, round(intercept, 3) AS intercept, "
+    "round(1 - sse / syy, 6) AS r2, round(sqrt(sse / n), 3) AS rmse FROM e",
+)
 def linear_regression_elastic_net(spark, folder):
-    model = ops.fit_linear_regression(text_sizes(spark, folder))
-    fit = model.summary
-    rows = [("slope", float(model.coefficients[0])), ("intercept", float(model.intercept)),
-            ("iterations", float(fit.totalIterations)), ("rmse", fit.rootMeanSquaredError),
-            ("r2", fit.r2)]
-    rows += [(f"objective {at:02d}", float(v)) for at, v in enumerate(fit.objectiveHistory)]
-    return spark.createDataFrame(rows, "name string, value double")
+    return _linear_row(spark, ops.fit_linear_regression(text_sizes(spark, folder)))
 
 
 def _glm_rows(model):
@@ -208,12 +223,26 @@ def glm_gaussian(spark, folder):
     )
 
 
-@query("glm_gaussian_ridge")
+SQL_RIDGE = _shrunk("r / (1 + 0.3 / sy)") + """SELECT name, value FROM (
+    SELECT 'slope' AS name, round(slope, 5) AS value FROM e
+    UNION ALL SELECT 'intercept', round(intercept, 3) FROM e
+    UNION ALL SELECT 'dispersion', round(sse / (n - 2), 2) FROM e
+    UNION ALL SELECT 'null_deviance', round(syy, 0) FROM e
+    UNION ALL SELECT 'deviance', round(sse, 0) FROM e
+    UNION ALL SELECT 'dof_null', n - 1 FROM e
+    UNION ALL SELECT 'dof', n - 2 FROM e
+    UNION ALL SELECT 'aic', round(n * (ln(2 * pi() * sse / n) + 1) + 2 + 4, 3) FROM e)
+""".replace("\n", " ")
+
+
+@query("glm_gaussian_ridge", SQL_RIDGE)
 def glm_gaussian_ridge(spark, folder):
-    model = ops.fit_glm(text_sizes(spark, folder))
-    rows = [(name, float(value)) for name, value, _ in _glm_rows(model)]
-    rows += [(f"p_{at}", float(value)) for at, value in enumerate(model.summary.pValues)]
-    return spark.createDataFrame(rows, "name string, value double")
+    rows = _glm_rows(ops.fit_glm(text_sizes(spark, folder)))
+    return spark.createDataFrame(
+        [(name, round(value, digits) + 0.0) for name, value, digits in rows
+         if not name.endswith(("_error", "_t"))],
+        "name string, value double",
+    )
 
 
 def _regression_query(fit, data):
@@ -258,7 +287,13 @@ def text_model(spark, folder):
     return _test_error(ops.score(model, test), "label", "prediction")
 
 
-@query("save_model")
+@query(
+    "save_model",
+    "SELECT * FROM (VALUES ('fitted', 0, 'Tokenizer'), ('fitted', 1, 'HashingTF'), "
+    "('fitted', 2, 'LogisticRegressionModel'), ('unfitted', 0, 'Tokenizer'), "
+    "('unfitted', 1, 'HashingTF'), ('unfitted', 2, 'LogisticRegression')) "
+    "AS saved(kind, place, stage)",
+)
 def save_model(spark, folder):
     path = work_folder(spark, "models")
     stages = ops.text_stages()

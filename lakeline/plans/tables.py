@@ -133,14 +133,18 @@ def partition_profile(spark, folder):
     )
 
 
-@query("random_split")
+@query(
+    "random_split",
+    "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys, TRUE AS near_weights FROM orders",
+)
 def random_split(spark, folder):
-    parts = ops.random_split(table(spark, folder, "orders", "o_totalprice"), [0.7, 0.3], seed=1)
-    sizes = [
-        part.agg(F.count(F.lit(1)).alias("n")).select(F.lit(at).alias("part"), "n")
-        for at, part in enumerate(parts)
-    ]
-    return sizes[0].union(sizes[1])
+    orders = table(spark, folder, "orders", "o_orderkey")
+    first, second = ops.random_split(orders, [0.7, 0.3], seed=1)
+    both = first.withColumn("part", F.lit(1)).union(second.withColumn("part", F.lit(0)))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("keys"),
+        F.avg("part").between(0.65, 0.75).alias("near_weights"),
+    )
 
 
 @query(
