@@ -249,22 +249,47 @@ def vector_slice(spark, folder):
     )
 
 
-def _item_vectors(spark, folder):
-    items = table(
-        spark, folder, "lineitem", "l_returnflag", "l_linenumber", "l_discount", "l_tax"
-    )
-    slots = F.array(
-        F.col("l_linenumber").cast("double"), F.round(F.col("l_discount") * 100),
-        F.round(F.col("l_tax") * 100),
+def _sql_chi2(slots: str) -> str:
+    """Independence statistics of three item features against the return flag."""
+    return (
+        "WITH cells AS (SELECT slot, label, value, count(*) AS seen FROM ("
+        f"SELECT unnest([0, 1, 2]) AS slot, l_returnflag AS label, unnest([{slots}]) AS value "
+        "FROM lineitem) GROUP BY 1, 2, 3), "
+        "by_label AS (SELECT slot, label, sum(seen) AS n FROM cells GROUP BY 1, 2), "
+        "by_value AS (SELECT slot, value, sum(seen) AS n FROM cells GROUP BY 1, 2), "
+        "expected AS (SELECT l.slot, l.label, v.value, "
+        "l.n * v.n / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) AS e "
+        "FROM by_label l JOIN by_value v ON l.slot = v.slot), "
+        "tests AS (SELECT e.slot, "
+        "CAST((count(DISTINCT e.label) - 1) * (count(DISTINCT e.value) - 1) AS INTEGER) AS dof, "
+        "sum((coalesce(c.seen, 0) - e) ** 2 / e) AS statistic "
+        "FROM expected e LEFT JOIN cells c ON e.slot = c.slot AND e.label = c.label "
+        "AND e.value = c.value GROUP BY e.slot) "
     )
-    return items.select(
-        _code("l_returnflag", CODES).alias("label"), vx.as_vector(slots).alias("features")
+
+
+def _item_vectors(spark, folder, columns, *slots):
+    items = table(spark, folder, "lineitem", "l_returnflag", *columns)
+    values = F.array(*[slot.cast("double") for slot in slots])
+    return spread(items).select(
+        _code("l_returnflag", CODES).alias("label"), vx.as_vector(values).alias("features")
     )
 
 
-@query("chi2_select")
+# three features of seven values each: with equal degrees of freedom the order
+# by p-value is the order by statistic
+@query(
+    "chi2_select",
+    _sql_chi2("l_linenumber, dayofweek(l_shipdate), CAST(l_quantity AS INTEGER) % 7")
+    + "SELECT CAST(row_number() OVER (ORDER BY slot) - 1 AS INTEGER) AS place, slot "
+    "FROM (SELECT slot FROM tests ORDER BY statistic DESC LIMIT 2)",
+)
 def chi2_select(spark, folder):
-    model = ops.fit_chi2_selector(_item_vectors(spark, folder), "features", "label", top=2)
+    vectors = _item_vectors(
+        spark, folder, ["l_linenumber", "l_shipdate", "l_quantity"],
+        F.col("l_linenumber"), F.dayofweek("l_shipdate"), F.col("l_quantity").cast("int") % 7,
+    )
+    model = ops.fit_chi2_selector(vectors, "features", "label", top=2)
     return spark.createDataFrame(
         [(at, int(slot)) for at, slot in enumerate(model.selectedFeatures)], "place int, slot int"
     )
@@ -272,22 +297,15 @@ def chi2_select(spark, folder):
 
 @query(
     "chi2_statistic",
-    "WITH cells AS (SELECT slot, label, value, count(*) AS seen FROM ("
-    "SELECT unnest([0, 1, 2]) AS slot, l_returnflag AS label, "
-    "unnest([CAST(l_linenumber AS DOUBLE), round(l_discount * 100), round(l_tax * 100)]) AS value "
-    "FROM lineitem) GROUP BY 1, 2, 3), "
-    "by_label AS (SELECT slot, label, sum(seen) AS n FROM cells GROUP BY 1, 2), "
-    "by_value AS (SELECT slot, value, sum(seen) AS n FROM cells GROUP BY 1, 2), "
-    "expected AS (SELECT l.slot, l.label, v.value, "
-    "l.n * v.n / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) AS e "
-    "FROM by_label l JOIN by_value v ON l.slot = v.slot) "
-    "SELECT e.slot, CAST((count(DISTINCT e.label) - 1) * (count(DISTINCT e.value) - 1) AS INTEGER) "
-    "AS dof, round(sum((coalesce(c.seen, 0) - e) ** 2 / e), 6) AS statistic "
-    "FROM expected e LEFT JOIN cells c ON e.slot = c.slot AND e.label = c.label "
-    "AND e.value = c.value GROUP BY e.slot",
+    _sql_chi2("CAST(l_linenumber AS DOUBLE), round(l_discount * 100), round(l_tax * 100)")
+    + "SELECT slot, dof, round(statistic, 6) AS statistic FROM tests",
 )
 def chi2_statistic(spark, folder):
-    result = ops.chi2_statistic(_item_vectors(spark, folder), "features", "label")
+    vectors = _item_vectors(
+        spark, folder, ["l_linenumber", "l_discount", "l_tax"],
+        F.col("l_linenumber"), F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100),
+    )
+    result = ops.chi2_statistic(vectors, "features", "label")
     return result.select("slot", "dof", rounded(F.col("statistic")).alias("statistic"))
 
 
