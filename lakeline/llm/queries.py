@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeline.llm import bpe, licenses, near_copies, warc, wavelet
+from lakeline.llm import bpe, licenses, near_copies, personal, quality, repeats, warc, wavelet
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -10,5 +10,8 @@ QUERIES = {
     "op4_near_copies": near_copies.op4_near_copies,
     "op5_wavelet": wavelet.op5_wavelet,
     "op7_warc": warc.op7_warc,
+    "op8_personal": personal.op8_personal,
+    "op9_repeats": repeats.op9_repeats,
+    "op10_quality": quality.op10_quality,
 }
-ORACLES = {"op7_warc": warc.OP7_SQL}
+ORACLES = {"op7_warc": warc.OP7_SQL, "op9_repeats": repeats.OP9_SQL}
