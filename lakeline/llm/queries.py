@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lakeline.llm import bpe, licenses, near_copies, personal, quality, repeats, warc, wavelet
+from lakeline.llm import bpe, languages, licenses, near_copies, personal, quality, repeats, warc, wavelet
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op2_bpe": bpe.op2_bpe,
+    "op3_languages": languages.op3_languages,
     "op4_near_copies": near_copies.op4_near_copies,
     "op5_wavelet": wavelet.op5_wavelet,
     "op7_warc": warc.op7_warc,
