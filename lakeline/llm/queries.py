@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeline.llm import bpe, languages, licenses, near_copies, personal, quality, repeats, warc, wavelet
+from lakeline.llm import bpe, languages, leaks, licenses, near_copies, personal, quality, repeats, warc, wavelet
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_languages": languages.op3_languages,
     "op4_near_copies": near_copies.op4_near_copies,
     "op5_wavelet": wavelet.op5_wavelet,
+    "op6_leaks": leaks.op6_leaks,
     "op7_warc": warc.op7_warc,
     "op8_personal": personal.op8_personal,
     "op9_repeats": repeats.op9_repeats,
