@@ -72,33 +72,33 @@ bsl-1.0 | spdx | 1.0 | spdx license identifier bsl 1 0
 artistic-2.0 | spdx | 1.0 | spdx license identifier artistic 2 0
 apache-2.0 | apache | 1.0 | licensed under the apache license version 2 0(?: the license)?
 apache-2.0 | apache | 1.0 | (?:http|https) www apache org licenses license 2 0(?: txt| html)?
-apache-2.0 | apache | 0.95 | apache (?:software )?license (?:version |v )?2(?: 0)?
+apache-2.0 | apache | 0.95 | apache (?:software )?license (?:version |v ?)?2(?: 0)?
 apache-2.0 | apache | 0.9 | apache (?:license )?v?2 0
 apache-2.0 | apache | 0.9 | asl 2 0 apache
-apache-1.1 | apache | 0.95 | apache (?:software )?license (?:version |v )?1 1
-apache-1.0 | apache | 0.95 | apache (?:software )?license (?:version |v )?1 0
+apache-1.1 | apache | 0.95 | apache (?:software )?license (?:version |v ?)?1 1
+apache-1.0 | apache | 0.95 | apache (?:software )?license (?:version |v ?)?1 0
 apache | apache | 0.7 | apache (?:software |public )?licen[sc]e
 agpl-3.0-or-later | affero | 1.0 | gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version
-agpl-3.0 | affero | 0.95 | (?:gnu )?affero general public license (?:version |v )?3(?: 0)?
+agpl-3.0 | affero | 0.95 | (?:gnu )?affero general public license (?:version |v ?)?3(?: 0)?
 agpl-3.0 | agpl | 0.9 | (?:gnu )?agpl ?v?3(?: 0)?
 agpl | affero | 0.7 | (?:gnu )?affero (?:general public )?licen[sc]e
 agpl | agpl | 0.6 | (?:gnu )?agpl(?:v3)?
 lgpl-3.0-or-later | lesser | 1.0 | gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version
 lgpl-2.1-or-later | lesser | 1.0 | gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version
-lgpl-3.0 | lesser | 0.95 | (?:gnu )?lesser general public license (?:version |v )?3(?: 0)?
-lgpl-2.1 | lesser | 0.95 | (?:gnu )?lesser general public license (?:version |v )?2 1
-lgpl-2.0 | library | 0.95 | (?:gnu )?library general public license (?:version |v )?2(?: 0)?
+lgpl-3.0 | lesser | 0.95 | (?:gnu )?lesser general public license (?:version |v ?)?3(?: 0)?
+lgpl-2.1 | lesser | 0.95 | (?:gnu )?lesser general public license (?:version |v ?)?2 1
+lgpl-2.0 | library | 0.95 | (?:gnu )?library general public license (?:version |v ?)?2(?: 0)?
 lgpl | lesser | 0.75 | (?:gnu )?lesser general public licen[sc]e
 lgpl | library | 0.75 | (?:gnu )?library general public licen[sc]e
-lgpl-3.0 | lgpl | 0.9 | (?:gnu )?lgpl (?:version |v )?3(?: 0)?(?: or later)?
+lgpl-3.0 | lgpl | 0.9 | (?:gnu )?lgpl (?:version |v ?)?3(?: 0)?(?: or later)?
 lgpl-3.0 | lgplv3 | 0.9 | (?:gnu )?lgplv3
-lgpl-2.1 | lgpl | 0.9 | (?:gnu )?lgpl (?:version |v )?2 1(?: or later)?
+lgpl-2.1 | lgpl | 0.9 | (?:gnu )?lgpl (?:version |v ?)?2 1(?: or later)?
 lgpl | lgpl | 0.6 | (?:gnu )?lgpl
 gpl-3.0-or-later | general public | 1.0 | gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version
 gpl-2.0-or-later | general public | 1.0 | gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version
-gpl-3.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v )?3(?: 0)?
-gpl-2.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v )?2(?: 0)?
-gpl-1.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v )?1(?: 0)?
+gpl-3.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v ?)?3(?: 0)?
+gpl-2.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v ?)?2(?: 0)?
+gpl-1.0 | general public | 0.95 | (?:the )?(?:gnu )?general public license (?:version |v ?)?1(?: 0)?
 gpl | general public | 0.75 | gnu general public licen[sc]e
 gpl-3.0 | www gnu | 0.95 | (?:http|https) www gnu org licenses gpl(?: 3 0)?(?: txt| html| en html)?
 lgpl | www gnu | 0.9 | (?:http|https) www gnu org licenses lgpl(?: 3 0| 2 1)?(?: txt| html| en html)?
@@ -106,12 +106,12 @@ agpl | www gnu | 0.9 | (?:http|https) www gnu org licenses agpl(?: 3 0)?(?: txt|
 gpl | www gnu | 0.8 | (?:http|https) www gnu org (?:licenses|copyleft)(?: html)?
 gpl-3.0 | gplv3 | 0.9 | (?:gnu )?gplv3
 gpl-2.0 | gplv2 | 0.9 | (?:gnu )?gplv2
-gpl-3.0 | gpl | 0.9 | (?:gnu )?gpl (?:version |v )?3(?: 0)?(?: or later| only)?
-gpl-2.0 | gpl | 0.9 | (?:gnu )?gpl (?:version |v )?2(?: 0)?(?: or later| only)?
+gpl-3.0 | gpl | 0.9 | (?:gnu )?gpl (?:version |v ?)?3(?: 0)?(?: or later| only)?
+gpl-2.0 | gpl | 0.9 | (?:gnu )?gpl (?:version |v ?)?2(?: 0)?(?: or later| only)?
 gpl | gnu gpl | 0.7 | gnu gpl
 gpl | gpl | 0.6 | (?:licensed|released|distributed|available) under (?:the )?gpl
-gfdl-1.3 | free documentation | 0.95 | (?:gnu )?free documentation license (?:version |v )?1 3(?: or any later version)?
-gfdl-1.2 | free documentation | 0.95 | (?:gnu )?free documentation license (?:version |v )?1 2(?: or any later version)?
+gfdl-1.3 | free documentation | 0.95 | (?:gnu )?free documentation license (?:version |v ?)?1 3(?: or any later version)?
+gfdl-1.2 | free documentation | 0.95 | (?:gnu )?free documentation license (?:version |v ?)?1 2(?: or any later version)?
 gfdl | free documentation | 0.8 | (?:gnu )?free documentation licen[sc]e
 mit | free of charge | 1.0 | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit | mit | 0.95 | (?:licensed|released|distributed|available) under the (?:terms of the )?mit licen[sc]e
@@ -139,44 +139,44 @@ isc | isc | 0.9 | (?:the )?isc licen[sc]e
 ntp | permission to use | 0.95 | permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?with(?:out| or without) fee is hereby granted
 mpl-2.0 | mozilla | 1.0 | this source code form is subject to the terms of the mozilla public license v 2 0
 mpl-2.0 | mozilla | 0.95 | (?:http|https) (?:www )?mozilla org (?:mpl|en us mpl) 2 0
-mpl-2.0 | mozilla | 0.95 | mozilla public license (?:version |v )?2(?: 0)?
-mpl-1.1 | mozilla | 0.95 | mozilla public license (?:version |v )?1 1
-mpl-1.0 | mozilla | 0.95 | mozilla public license (?:version |v )?1 0
+mpl-2.0 | mozilla | 0.95 | mozilla public license (?:version |v ?)?2(?: 0)?
+mpl-1.1 | mozilla | 0.95 | mozilla public license (?:version |v ?)?1 1
+mpl-1.0 | mozilla | 0.95 | mozilla public license (?:version |v ?)?1 0
 mpl | mozilla | 0.75 | mozilla public licen[sc]e
 mpl-2.0 | mpl | 0.85 | mpl (?:v )?2 0
 mpl-1.1 | mpl | 0.85 | mpl (?:v )?1 1
-epl-2.0 | eclipse | 0.95 | eclipse public license (?:version |v )?2(?: 0)?
-epl-1.0 | eclipse | 0.95 | eclipse public license (?:version |v )?1(?: 0)?
+epl-2.0 | eclipse | 0.95 | eclipse public license (?:version |v ?)?2(?: 0)?
+epl-1.0 | eclipse | 0.95 | eclipse public license (?:version |v ?)?1(?: 0)?
 epl | eclipse | 0.75 | eclipse public licen[sc]e
-edl-1.0 | eclipse | 0.9 | eclipse distribution license (?:version |v )?1 0
+edl-1.0 | eclipse | 0.9 | eclipse distribution license (?:version |v ?)?1 0
 epl-2.0 | epl | 0.85 | epl (?:v )?2 0
 epl-1.0 | epl | 0.85 | epl (?:v )?1 0
-eupl-1.2 | european union | 0.95 | european union public licen[sc]e (?:version |v )?1 2
-eupl-1.1 | european union | 0.95 | european union public licen[sc]e (?:version |v )?1 1
+eupl-1.2 | european union | 0.95 | european union public licen[sc]e (?:version |v ?)?1 2
+eupl-1.1 | european union | 0.95 | european union public licen[sc]e (?:version |v ?)?1 1
 eupl | european union | 0.8 | european union public licen[sc]e
 eupl-1.2 | eupl | 0.85 | eupl (?:v )?1 2
 eupl | eupl | 0.6 | eupl
-cddl-1.1 | common development | 0.95 | common development and distribution license (?:version |v )?1 1
-cddl-1.0 | common development | 0.95 | common development and distribution license (?:version |v )?1 0
+cddl-1.1 | common development | 0.95 | common development and distribution license (?:version |v ?)?1 1
+cddl-1.0 | common development | 0.95 | common development and distribution license (?:version |v ?)?1 0
 cddl | common development | 0.8 | common development and distribution licen[sc]e
 cddl | cddl | 0.6 | cddl
-cpl-1.0 | common public | 0.95 | common public license (?:version |v )?1 0
+cpl-1.0 | common public | 0.95 | common public license (?:version |v ?)?1 0
 cpl | common public | 0.75 | common public licen[sc]e
 cpal-1.0 | common public attribution | 0.95 | common public attribution license(?: version| v)?(?: 1 0)?
 ipl-1.0 | ibm public | 0.9 | ibm public license(?: version| v)?(?: 1 0)?
-cecill-2.1 | cecill | 0.9 | cecill (?:version |v )?2 1
+cecill-2.1 | cecill | 0.9 | cecill (?:version |v ?)?2 1
 cecill-b | cecill | 0.9 | cecill b
 cecill-c | cecill | 0.9 | cecill c
 cecill | cecill | 0.6 | cecill
-artistic-2.0 | artistic | 0.95 | artistic license (?:version |v )?2(?: 0)?
-artistic-1.0 | artistic | 0.95 | artistic license (?:version |v )?1(?: 0)?
+artistic-2.0 | artistic | 0.95 | artistic license (?:version |v ?)?2(?: 0)?
+artistic-1.0 | artistic | 0.95 | artistic license (?:version |v ?)?1(?: 0)?
 artistic | artistic | 0.75 | artistic licen[sc]e
 perl | same terms as perl | 0.85 | under the same terms as perl(?: itself| 5)?
 python-2.0 | python software | 0.9 | python software foundation license(?: version| v)?(?: 2)?
 psf | psf | 0.7 | psf licen[sc]e
 ruby | ruby | 0.7 | (?:the )?ruby licen[sc]e
-php-3.01 | php | 0.9 | php license (?:version |v )?3 01
-php-3.0 | php | 0.9 | php license (?:version |v )?3 0
+php-3.01 | php | 0.9 | php license (?:version |v ?)?3 01
+php-3.0 | php | 0.9 | php license (?:version |v ?)?3 0
 php | php | 0.7 | (?:the )?php licen[sc]e
 zpl-2.1 | zope | 0.9 | zope public license(?: version| v)?(?: 2 1)?
 zlib | as is without | 0.95 | this software is provided as is without any express or implied warranty in no event will the authors be held liable

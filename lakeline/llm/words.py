@@ -95,7 +95,7 @@ class Words:
         """Hash of ``size`` words from each word on; only those with ``left >= size`` count."""
         words = self.hashes[seed]
         total = np.zeros(len(words), np.uint64)
-        for step in range(size):
+        for step in range(min(size, len(words))):
             total[:len(words) - step] += words[step:] * _STEPS[seed][step]
         return mixed(total)
 
