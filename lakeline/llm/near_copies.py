@@ -9,9 +9,10 @@ the two k-mer sequences matches at least ``SIMILARITY`` of the distinct k-mers o
 Documents with equal words are folded first, so a group of copies costs one row. No bucket is written
 out as pairs. First each document is aligned with the busiest member of each of its buckets. Buckets
 whose members are then in one component are closed. Of the others, those of up to ``SMALL`` members
-align the members of different components; larger ones are split by a further key that the members
-share, and again, until none is left. A pair at the similarity agrees on about eight keys of 24, so
-it stays together through the first splits.
+align the members of different components. The members of larger ones meet in an exact join: their
+distinct k-mers are ordered from rare to common, two sets of the similarity must share one among
+the first fifth, and its places bound what they can share. Only documents outside the component of their
+bucket's busiest member look for partners there.
 
 Text of fewer than five words is one k-mer. A document without any word (null, empty, white space)
 is a class of its own. Rows that share doc_id and words are one document.
@@ -23,9 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
 from lakeline.llm.graph import components
 from lakeline.llm.words import Words, mixed, raw, slices
@@ -147,14 +148,15 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(column, kind.type) for column, kind in zip(rows, _PRINTS)], schema=_PRINTS)
 
 
+def _wide(seq: bytes) -> np.ndarray:
+    return mixed(np.frombuffer(seq, np.uint32).astype(np.uint64))
+
+
 @F.pandas_udf(DoubleType())
 def _share(left, right):
     import pandas as pd
 
-    def wide(value):
-        return mixed(np.frombuffer(value, np.uint32).astype(np.uint64))
-
-    return pd.Series([aligned_share(wide(a), wide(b)) for a, b in zip(left, right)], dtype="float64")
+    return pd.Series([aligned_share(_wide(a), _wide(b)) for a, b in zip(left, right)], dtype="float64")
 
 
 def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
@@ -192,37 +194,56 @@ def linked_texts(prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
     members = stored(
         members.join(degrees, "node").select("node", "slot", "key", "degree"), "members")
-    groups = members.withColumn("last", F.col("slot")).drop("slot")
-
     leader = F.max(F.struct("degree", "node")).getField("node").alias("leader")
-    stars = groups.groupBy("key", "last").agg(leader)
-    pairs = groups.join(stars, ["key", "last"]).where("node <> leader")
-    pairs = pairs.select(*_ordered("node", "leader")).distinct()
-    tried = stored(verified(pairs, prints, similarity), "tried")
-    while True:
-        links = tried.where("linked").select("a", "b")
-        roots = stored(components(links), "roots")
-        placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_groups = placed.groupBy("key", "last").agg(
-            F.count(F.lit(1)).alias("n"), leader, F.min("root").alias("low"), F.max("root").alias("high"),
-        ).where("low <> high").drop("low", "high")
-        placed = stored(placed.join(open_groups, ["key", "last"]), "placed")
-        few, many = placed.where(F.col("n") <= SMALL), placed.where(F.col("n") > SMALL)
-        one = few.select("key", "last", F.col("node").alias("one"), F.col("root").alias("root_one"))
-        other = few.select("key", "last", F.col("node").alias("other"), F.col("root").alias("root_other"))
-        crossed = one.join(other, ["key", "last"]).where("one < other AND root_one <> root_other")
-        stars = many.where("node <> leader").select(*_ordered("node", "leader"))
-        fresh = crossed.select(*_ordered("one", "other")).union(stars).distinct()
-        fresh = fresh.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        tried = tried.union(stored(verified(fresh, prints, similarity), "tried"))
-        if many.isEmpty():
-            return tried.where("linked").select("a", "b")
-        split = many.select("node", "key", "last", "degree").join(
-            members.select("node", F.col("slot").alias("next"), F.col("key").alias("more")), "node",
-        ).where("next > last")
-        groups = stored(split.select(
-            "node", F.xxhash64("key", "more").alias("key"), "degree", F.col("next").alias("last"),
-        ), "groups")
+    stars = members.groupBy("slot", "key").agg(leader)
+    pairs = members.join(stars, ["slot", "key"]).where("node <> leader")
+    tried = stored(verified(pairs.select(*_ordered("node", "leader")).distinct(), prints, similarity), "tried")
+    links = tried.where("linked").select("a", "b")
+    roots = stored(components(links), "roots")
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_buckets = placed.groupBy("slot", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node", "root")).getField("root").alias("main"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    ).where("low <> high").drop("low", "high")
+    placed = stored(placed.join(open_buckets, ["slot", "key"]), "placed")
+    few = placed.where(F.col("n") <= SMALL)
+    one = few.select("slot", "key", F.col("node").alias("one"), F.col("root").alias("root_one"))
+    other = few.select("slot", "key", F.col("node").alias("other"), F.col("root").alias("root_other"))
+    crossed = one.join(other, ["slot", "key"]).where("one < other AND root_one <> root_other")
+    crowd = placed.where(F.col("n") > SMALL).groupBy("node", "root").agg(
+        F.max(F.col("root") != F.col("main")).alias("seeks"))
+    met = sharing(crowd.join(prints.select("node", "seq"), "node"), similarity)
+    fresh = crossed.select(*_ordered("one", "other")).union(met.select(*_ordered("one", "other"))).distinct()
+    fresh = fresh.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    more = stored(verified(fresh, prints, similarity), "tried")
+    return links.union(more.where("linked").select("a", "b"))
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _runs(seqs):
+    return seqs.map(lambda seq: np.unique(shingles(_wide(seq))).view(np.int64))
+
+
+def sharing(texts: DataFrame, similarity: float) -> DataFrame:
+    """``one, other``: all pairs whose sets of k-mers can reach the similarity, in different roots.
+
+    ``texts (node, root, seeks, seq)``; at least one of a pair seeks.
+    """
+    runs = texts.select("node", "root", "seeks", _runs("seq").alias("runs"))
+    rows = stored(runs.select(
+        "node", "root", "seeks", F.size("runs").alias("size"), F.explode("runs").alias("run")), "runs")
+    often = rows.groupBy("run").agg(F.count(F.lit(1)).alias("often"), F.max("seeks").alias("sought"))
+    order = Window.partitionBy("node").orderBy("often", "run")
+    ranked = rows.join(often, "run").withColumn("place", F.row_number().over(order) - 1)
+    first = ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
+                         & (F.col("often") > 1) & F.col("sought"))
+    first = stored(first.select("node", "root", "seeks", "size", "run", "place"), "first")
+    one = first.where("seeks").toDF("one", "root_one", "seeks_one", "size_one", "run", "place_one")
+    other = first.toDF("other", "root_other", "seeks_other", "size_other", "run", "place_other")
+    most = F.least(F.col("size_one") - F.col("place_one"), F.col("size_other") - F.col("place_other"))
+    least = (F.col("size_one") + F.col("size_other")) * similarity / (1 + similarity) - 1e-9
+    apart = (F.col("root_one") != F.col("root_other")) & (~F.col("seeks_other") | (F.col("one") < F.col("other")))
+    return one.join(other, "run").where(apart & (most >= least)).select("one", "other").distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
