@@ -228,7 +228,7 @@ def _shown(ids: list[int]) -> str:
 def _coded(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        coder = Coder(f"bpe {path}", known.special, known.special_id, known.encode, _shown, known.spell)
+        coder = Coder(None, known.special, known.special_id, known.encode, _shown, known.spell)
         shown, spelled = (view.__getitem__ for view in coder.known)
         for batch in batches:
             for part in slices(batch, "text"):

@@ -15,9 +15,11 @@ import regex
 
 PATTERN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+LATIN = re.compile(
+    rf" ?[{_LETTERS}]++|'(?:[stmd]|re|ve|ll)| ?[0-9]++| ?[^\s{_LETTERS}0-9]++|\s+(?!\S)|\s+")
 _OTHER = re.compile(r"[^\n\x20-\x7E\xA1-\xB1\xB4-\xB8\xBA\xBB\xBF-ɏ‐-…]")
-MEMO_WORDS = 700_000
+MEMO_ENTRIES = 1_400_000
 
 
 def words_of(text: str) -> list[str]:
@@ -36,12 +38,12 @@ class Coder:
 
     ``encode`` gives the ids of each of a list of words, and a view turns the ids of one word into
     text or bytes; that of a whole text is that of its words one after the other. The special token's
-    string is one word. The memo starts again beyond ``MEMO_WORDS`` different words.
+    string is one word. The memo of a ``name`` outlives the task. It starts again beyond ``MEMO_ENTRIES`` words, counted in each view.
     """
 
-    def __init__(self, name: str, special: str, special_id: int,
+    def __init__(self, name: str | None, special: str, special_id: int,
                  encode: Callable[[list[str]], list[list[int]]], *views: Callable[[list[int]], str | bytes]):
-        self.known = [worker_memo(f"{name} {number}") for number in range(len(views))]
+        self.known = [worker_memo(f"{name} {number}") if name else {} for number in range(len(views))]
         self.special, self.special_id, self.encode, self.views = special, special_id, encode, views
 
     def words(self, texts: list[str]) -> list[list[str]]:
@@ -49,7 +51,7 @@ class Coder:
         cut = [self._cut(text) for text in texts]
         first = self.known[0]
         fresh = {word for words in cut for word in words if word not in first}
-        if len(first) + len(fresh) > MEMO_WORDS:
+        if (len(first) + len(fresh)) * len(self.known) > MEMO_ENTRIES:
             for known in self.known:
                 known.clear()
             fresh = {word for words in cut for word in words}
