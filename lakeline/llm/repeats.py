@@ -3,14 +3,14 @@
 Windows of ``ANCHOR`` words are hashed only at places that lie, modulo ``PERIOD``, in ``COVER``. Any two
 places are both moved into the cover by some shift below the period, so two equal passages of
 ``WINDOW`` words share an anchor at the same distance from their starts. Anchors that
-occur once in the corpus are dropped; around the others the full windows are hashed (128 bits),
-and each window whose words also start earlier removes its words.
+occur once in the corpus are dropped; around the others the full windows are hashed, and each window whose words also start earlier removes its words.
 
 Rows travel as blocks of numbers, dealt by hash into as many buckets as the texts need, so a task
-holds one bucket at a time. A part of the input (``PART`` anchors) sends each different hash once,
+holds one bucket at a time. Anchors carry 32 bits beside their bucket: a chance agreement only costs a few
+windows more, and those are compared by 96 bits beside theirs. A part of the input (``PART`` anchors) sends each different hash once,
 with its first place; the other places in the part are settled on the spot. A passage
 that a third of all documents share thus costs one number per part. Texts are shuffled by document
-twice, to meet the places found.
+once; the same exchange serves both times that places found meet their texts.
 
 Null text has no words; a null doc_id counts as the smallest. Of rows that share a doc_id none is
 earlier than the other at an equal place.
@@ -35,9 +35,9 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 PART = 1 << 20
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 64 << 20
 NO_ID = -(2**63)
-SEEK, FOUND, TEXT = 0, 1, 2
+SEEK, FOUND = 0, 1
 
 _COVERED = np.isin(np.arange(PERIOD), COVER)
 _BLOCKS = pa.schema([
@@ -45,7 +45,7 @@ _BLOCKS = pa.schema([
     ("doc", pa.binary()), ("mark", pa.binary()), ("place", pa.binary()),
 ])
 BLOCKS = "bucket int, kind int, key binary, other binary, doc binary, mark binary, place binary"
-_TYPES = {"key": np.uint64, "other": np.uint64, "doc": np.int64, "mark": np.int64, "place": np.int32}
+_TYPES = {"key": np.uint64, "other": np.uint32, "doc": np.int64, "mark": np.int32, "place": np.int32}
 Places = dict[str, np.ndarray]
 
 
@@ -96,8 +96,9 @@ def _fresh(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 def _repeated(rows: Places) -> tuple[np.ndarray, np.ndarray]:
     """Which anchors occur twice or more, and one of each different one."""
-    order = np.argsort(rows["key"], kind="stable")
-    start = np.flatnonzero(_fresh(order, rows["key"]))
+    key = rows["key"] if "key" in rows else rows["other"]
+    order = np.argsort(key, kind="stable")
+    start = np.flatnonzero(_fresh(order, key))
     sizes = np.diff(np.append(start, len(order)))
     twice = np.empty(len(order), bool)
     twice[order] = np.repeat(sizes > 1, sizes)
@@ -132,7 +133,10 @@ def _settled(rows: Places, decide: Callable, buckets: int) -> Iterator[pa.Record
     done, first = decide(rows)
     yield from _found(rows, done, buckets)
     seek = {name: values[first] for name, values in rows.items()}
-    yield from _dealt(seek, SEEK, (seek["key"] % np.uint64(buckets)).astype(np.int64))
+    bucket = ((seek["key"] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    if "other" not in seek:
+        seek["other"] = (seek.pop("key") & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    yield from _dealt(seek, SEEK, bucket)
 
 
 def _seek_anchors(buckets: int):
@@ -180,23 +184,14 @@ def _decide(decide: Callable, buckets: int):
     return run
 
 
-def _meet(rows: Iterator[dict]) -> Iterator[tuple[dict, np.ndarray]]:
-    """Each document of a bucket with the places found in it; blocks come before the texts.
-
-    Where blocks carry a mark, it must be the text's own.
-    """
-    blocks, ready = [], None
-    for row in rows:
-        if row["kind"] != TEXT:
-            blocks.append(_block(row))
-            continue
-        if ready is None:
-            ready = _joined(blocks) if blocks else {"doc": np.zeros(0, np.int64), "place": np.zeros(0, np.int32)}
-            order = np.argsort(ready["doc"], kind="stable")
-            ready = {name: values[order] for name, values in ready.items()}
-        doc_id = NO_ID if row["doc_id"] is None else row["doc_id"]
-        low, high = np.searchsorted(ready["doc"], [doc_id, doc_id + 1]) if doc_id < 2**63 - 1 else (
-            np.searchsorted(ready["doc"], doc_id), len(ready["doc"]))
+def _meet(blocks: pa.Table, texts: pa.Table) -> Iterator[tuple[dict, np.ndarray]]:
+    """Each document of a bucket with the places found in it. Marks in blocks must be the text's own."""
+    parts = [_block(row) for row in blocks.to_pylist()]
+    ready = _joined(parts) if parts else {"doc": np.zeros(0, np.int64), "place": np.zeros(0, np.int32)}
+    order = np.argsort(ready["doc"], kind="stable")
+    ready = {name: values[order] for name, values in ready.items()}
+    for row in (row for batch in texts.to_batches() for part in slices(batch, "text") for row in part.to_pylist()):
+        low, high = (np.searchsorted(ready["doc"], row["key"], side) for side in ("left", "right"))
         places = ready["place"][low:high]
         if "mark" in ready:
             places = places[ready["mark"][low:high] == row["text_mark"]]
@@ -219,7 +214,9 @@ def _seek_windows(buckets: int):
         for number, (_, anchors) in enumerate(held):
             size = int(texts.counts[number]) - WINDOW + 1
             if size > 0:
-                # windows that begin up to a period before an anchor
+                # windows that begin up to a period before an anchor; another text of the same id
+                # may have some further on
+                anchors = anchors[anchors < size + PERIOD - 1]
                 reach = _spread(anchors.astype(np.int64), size + PERIOD, 1)
                 steps = np.cumsum(np.concatenate(([0], reach)))
                 wide = steps[PERIOD:PERIOD + size] - steps[:size]
@@ -229,32 +226,27 @@ def _seek_windows(buckets: int):
         at = np.concatenate(near)
         owner = texts.text[at]
         return {
-            "key": texts.windows(WINDOW, 0)[at], "other": texts.windows(WINDOW, 1)[at],
-            "doc": np.array([NO_ID if row["doc_id"] is None else row["doc_id"] for row, _ in held], np.int64)[owner],
-            "mark": np.array([row["text_mark"] for row, _ in held], np.int64)[owner],
+            "key": texts.windows(WINDOW, 0)[at], "other": (texts.windows(WINDOW, 1)[at] >> np.uint64(32)).astype(np.uint32),
+            "doc": np.array([row["key"] for row, _ in held], np.int64)[owner],
+            "mark": np.array([row["text_mark"] for row, _ in held], np.int32)[owner],
             "place": texts.place[at].astype(np.int32),
         }
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held, size, total = [], [], 0, 0
-        for _, rows in _buckets(batches, "text"):
-            for row, anchors in _meet(rows):
-                if not len(anchors):
-                    continue
-                held.append((row, anchors))
-                size += len(row["text"] or "")
-                if size >= 1 << 20:
-                    if (part := windows(held)) is not None:
-                        parts.append(part)
-                        total += len(part["key"])
-                    held, size = [], 0
-                if total >= PART:
-                    yield from _settled(_joined(parts), _later, buckets)
-                    parts, total = [], 0
-        if held and (part := windows(held)) is not None:
-            parts.append(part)
-        if parts:
-            yield from _settled(_joined(parts), _later, buckets)
+    def run(blocks: pa.Table, texts: pa.Table) -> pa.Table:
+        parts, held, size = [], [], 0
+        for row, anchors in _meet(blocks, texts):
+            if not len(anchors):
+                continue
+            held.append((row, anchors))
+            size += len(row["text"] or "")
+            if size >= 1 << 20:
+                parts.append(windows(held))
+                held, size = [], 0
+        if held:
+            parts.append(windows(held))
+        parts = [part for part in parts if part is not None]
+        found = _settled(_joined(parts), _later, buckets) if parts else []
+        return pa.Table.from_batches(found, schema=_BLOCKS)
 
     return run
 
@@ -267,30 +259,19 @@ _DIGESTS = pa.schema([
 ])
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(values, kind.type) for values, kind in zip(zip(*rows), schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
 def _cut(digests: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _DIGESTS if digests else _KEPT
+    def run(blocks: pa.Table, texts: pa.Table) -> pa.Table:
         done: list[tuple] = []
-        size = 0
-        for _, rows in _buckets(batches, "text"):
-            for row, starts in _meet(rows):
-                words = (row["text"] or "").encode().split()
-                gone = _spread(starts.astype(np.int64), len(words), WINDOW) if len(starts) else None
-                kept = words if gone is None else [word for word, out in zip(words, gone.tolist()) if not out]
-                text = b" ".join(kept)
-                done.append((row["doc_id"], len(words), len(words) - len(kept),
-                             hashlib.sha256(text).hexdigest() if digests else text.decode()))
-                size += 100 if digests else len(text)
-                if size >= 1 << 22:
-                    yield _batch(done, schema)
-                    done, size = [], 0
-        if done:
-            yield _batch(done, schema)
+        for row, starts in _meet(blocks, texts):
+            words = (row["text"] or "").encode().split()
+            gone = _spread(starts.astype(np.int64), len(words), WINDOW) if len(starts) else None
+            kept = words if gone is None else [word for word, out in zip(words, gone.tolist()) if not out]
+            text = b" ".join(kept)
+            done.append((row["doc_id"], len(words), len(words) - len(kept),
+                         hashlib.sha256(text).hexdigest() if digests else text.decode()))
+        schema = _DIGESTS if digests else _KEPT
+        columns = zip(*done) if done else [[] for _ in schema]
+        return pa.Table.from_arrays([pa.array(values, kind.type) for values, kind in zip(columns, schema)], schema=schema)
 
     return run
 
@@ -300,25 +281,21 @@ def without_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
     texts = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "CAST(text AS string) AS text")
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     default = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(default, size // BUCKET_BYTES + 1)
-    tasks = max(default, size // (4 * BUCKET_BYTES) + 1)
-
-    def by_bucket(blocks: DataFrame, *order: str) -> DataFrame:
-        return blocks.repartition(tasks, "bucket").sortWithinPartitions("bucket", *order)
+    buckets = max(4 * default, size // BUCKET_BYTES + 1)
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    dealt = texts.select("doc_id", "text", key.alias("key"), F.hash("text").alias("text_mark"),
+                         _bucket(key, buckets).alias("bucket")).groupBy("bucket")
 
-    def with_texts(blocks: DataFrame) -> DataFrame:
-        # the bucket of a document is that of its id in the blocks
-        dealt = texts.withColumn("text_mark", F.xxhash64("text")).withColumn("kind", F.lit(TEXT))
-        dealt = dealt.withColumn("bucket", _bucket(F.coalesce("doc_id", F.lit(NO_ID)), buckets))
-        both = blocks.drop("key", "other").unionByName(dealt, allowMissingColumns=True)
-        return by_bucket(both, "kind")
+    def decided(blocks: DataFrame, decide: Callable) -> DataFrame:
+        placed = blocks.repartition(default, "bucket").sortWithinPartitions("bucket")
+        return placed.mapInArrow(_decide(decide, buckets), BLOCKS)
 
     anchors = texts.mapInArrow(_seek_anchors(buckets), BLOCKS)
-    repeated = by_bucket(anchors).mapInArrow(_decide(_repeated, buckets), BLOCKS).drop("mark")
-    windows = with_texts(repeated).mapInArrow(_seek_windows(buckets), BLOCKS)
-    starts = by_bucket(windows).mapInArrow(_decide(_later, buckets), BLOCKS)
+    repeated = decided(anchors, _repeated).groupBy("bucket")
+    windows = repeated.cogroup(dealt).applyInArrow(_seek_windows(buckets), BLOCKS)
+    starts = decided(windows, _later).groupBy("bucket")
     last = "kept_sha256 string" if digests else "kept string"
-    return with_texts(starts).mapInArrow(_cut(digests), f"doc_id bigint, n_words bigint, n_removed bigint, {last}")
+    return starts.cogroup(dealt).applyInArrow(_cut(digests), f"doc_id bigint, n_words bigint, n_removed bigint, {last}")
 
 
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
