@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,10 +49,11 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        values = ids.astype(np.uint32)
+        high = int(ids.max(initial=0))
+        values = ids.astype(np.uint16 if high < 1 << 16 else np.uint32)
         planes, zeros = [], []
-        for bit in range(max(1, int(values.max(initial=0)).bit_length()) - 1, -1, -1):
-            ones = (values >> np.uint32(bit)) & np.uint32(1) == 1
+        for bit in range(max(1, high.bit_length()) - 1, -1, -1):
+            ones = values & values.dtype.type(1 << bit) != 0
             planes.append(np.packbits(ones, bitorder="little"))
             values = np.concatenate((values[~ones], values[ones]))
             zeros.append(len(ones) - int(np.count_nonzero(ones)))
@@ -61,12 +64,12 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, by undoing the partings from the last plane up."""
-        values = np.zeros(self.size, np.uint32)
+        values = np.zeros(self.size, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for plane in range(len(self.planes) - 1, -1, -1):
             ones, split = self._bits(plane), self.zeros[plane]
             above = np.empty_like(values)
             above[~ones] = values[:split]
-            above[ones] = values[split:] | np.uint32(1 << (len(self.planes) - 1 - plane))
+            above[ones] = values[split:] | values.dtype.type(1 << (len(self.planes) - 1 - plane))
             values = above
         return values
 
@@ -184,13 +187,20 @@ _SHARDS = pa.schema([
 ])
 
 
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def _shards(path: str, folder: str, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, special, special_id = _library(path)
         coder = Coder(
             f"library {path}", special, special_id,
             lambda words: [code.ids for code in tokenizer.encode_batch_fast(words, add_special_tokens=False)],
-            lambda ids: np.array(ids, "<u4").tobytes())
+            _packed)
         coded, end = coder.known[0].__getitem__, np.array([END], "<u4").tobytes()
         part, shard, held = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int] = []
