@@ -1,7 +1,7 @@
 """The custom average, as a column and under a name for SQL text.
 
-NULLs are skipped, no rows give NaN, and integers are summed as
-``decimal(38,0)`` so that the sum cannot wrap around.
+NULLs are skipped, no rows give NaN. Integers are summed as ``decimal(38,0)`` so that the sum cannot
+wrap around, other numbers as doubles.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def average(value: Column) -> Column:
-    """Average of an integer column, with the usual map-side partial sums."""
-    total, n = F.sum(value.cast("decimal(38,0)")), F.count(value)
-    return F.when(n == 0, F.lit(float("nan"))).otherwise(total.cast("double") / n)
+    """Average of a numeric column, with the usual map-side partial sums."""
+    whole = F.typeof(value).isin("tinyint", "smallint", "int", "bigint")
+    exact = F.sum(F.when(whole, value.cast("decimal(38,0)"))).cast("double")
+    total, n = F.coalesce(exact, F.sum(F.when(~whole, value.cast("double")))), F.count(value)
+    return F.when(n == 0, F.lit(float("nan"))).otherwise(total / n)
 
 
 def register_average(spark: SparkSession, name: str = "udfAvg") -> str:

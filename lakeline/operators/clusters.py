@@ -55,19 +55,23 @@ def fit_lda(
 def topic_terms(model, vocabulary: Sequence[str], top: int = 4) -> DataFrame:
     """``(topic, place, term, weight)`` of each topic's heaviest terms."""
     topics = model.describeTopics(top)
-    terms = F.lit(list(vocabulary))
-    return topics.select(
+    rows = topics.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t")
-    ).select(
-        "topic", "place", F.get(terms, F.col("t.termIndices")).alias("term"),
-        F.col("t.termWeights").alias("weight"),
-    )
+    ).select("topic", "place", F.col("t.termIndices").alias("pos"), F.col("t.termWeights").alias("weight"))
+    terms = topics.sparkSession.createDataFrame(list(enumerate(vocabulary)), "pos int, term string")
+    # k times top rows
+    return terms.join(F.broadcast(rows), "pos").select("topic", "place", "term", "weight")
 
 
 def lda_quality(model, df: DataFrame) -> DataFrame:
-    """Bounds on log likelihood and log perplexity of a corpus, in one row."""
-    with cached(df) as rows:
-        values = (float(model.logLikelihood(rows)), float(model.logPerplexity(rows)))
+    """Bounds on log likelihood and log perplexity of a corpus, in one row.
+
+    The perplexity is minus the likelihood over the number of tokens, so one pass will do.
+    """
+    likelihood = float(model.logLikelihood(df))
+    counts = vector_to_array(F.col(model.getFeaturesCol()))
+    tokens = df.agg(F.sum(F.aggregate(counts, F.lit(0.0), lambda a, b: a + b))).first()[0]
+    values = (likelihood, -likelihood / tokens)
     return df.sparkSession.createDataFrame(
         [values], "log_likelihood double, log_perplexity double"
     )

@@ -40,20 +40,24 @@ MAX_VOCABULARY = 1 << 18
 # text
 
 
+def _cut(df: DataFrame, cutter, text: str, out: str) -> DataFrame:
+    """Words by a tokenizer of ``__filled``; none for a NULL text, which stays NULL."""
+    cut = cutter.transform(df.withColumn("__filled", F.coalesce(text, F.lit(""))))
+    nothing = F.array().cast("array<string>")
+    return cut.withColumn(out, F.when(F.col(text).isNull(), nothing).otherwise(F.col(out))).drop("__filled")
+
+
 def tokenize(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
     """Lower-case words between single white-space characters; a NULL text has none."""
-    filled = df.withColumn(text, F.coalesce(text, F.lit("")))
-    return Tokenizer(inputCol=text, outputCol=out).transform(filled)
+    return _cut(df, Tokenizer(inputCol="__filled", outputCol=out), text, out)
 
 
 def regex_tokenize(
     df: DataFrame, text: str, out: str = "tokens", pattern: str = r"\W", gaps: bool = True
 ) -> DataFrame:
     """Lower-case words cut at ``pattern``, or found by it without ``gaps``."""
-    filled = df.withColumn(text, F.coalesce(text, F.lit("")))
-    return RegexTokenizer(inputCol=text, outputCol=out, pattern=pattern, gaps=gaps).transform(
-        filled
-    )
+    cutter = RegexTokenizer(inputCol="__filled", outputCol=out, pattern=pattern, gaps=gaps)
+    return _cut(df, cutter, text, out)
 
 
 def default_stop_words(language: str = "english") -> list[str]:
@@ -130,22 +134,16 @@ def tf_idf(df: DataFrame, row_id: str, tokens: str | Column, min_df: int = 1) ->
 
 
 def top_terms(
-    df: DataFrame, row_id: str, tokens: str | Column, size: int, min_df: int = 1
+    df: DataFrame, row_id: str, tokens: str | Column, size: int | None, min_df: int = 1
 ) -> DataFrame:
-    """``(term, corpus_n)``: the ``size`` most frequent terms, ties by term."""
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} terms")
+    """``(term, corpus_n)``: the ``size`` most frequent terms (None: all), ties by term."""
     counts = (
         term_rows(df, row_id, tokens)
         .groupBy("term")
         .agg(F.sum("n").alias("corpus_n"), F.count(F.lit(1)).alias("df"))
     )
-    return (
-        counts.where(F.col("df") >= min_df)
-        .orderBy(F.desc("corpus_n"), "term")
-        .limit(size)
-        .select("term", "corpus_n")
-    )
+    ordered = counts.where(F.col("df") >= min_df).orderBy(F.desc("corpus_n"), "term")
+    return (ordered if size is None else ordered.limit(size)).select("term", "corpus_n")
 
 
 def fit_count_vectorizer(
@@ -153,13 +151,14 @@ def fit_count_vectorizer(
     row_id: str,
     tokens: str,
     out: str = "counts",
-    vocab_size: int = MAX_VOCABULARY,
+    vocab_size: int | None = MAX_VOCABULARY,
     min_df: int = 1,
 ) -> CountVectorizerModel:
     """Count vectors over the most frequent terms.
 
     Terms of equal frequency are ordered by name, so the vocabulary is the
-    same on every run. Only ``vocab_size`` terms reach the driver.
+    same on every run. ``vocab_size`` terms reach the driver (None: all that
+    ``min_df`` leaves), as a fitted vocabulary lives there.
     """
     terms = [row.term for row in top_terms(df, row_id, tokens, vocab_size, min_df).collect()]
     return count_vectorizer_of(df.sparkSession, terms, tokens, out)
@@ -173,13 +172,13 @@ def count_vectorizer_of(
 
 
 def count_rows(df: DataFrame, row_id: str, counts: str, vocabulary: Sequence[str]) -> DataFrame:
-    """Count vectors as ``(id, term, n)``; the vocabulary, bounded by its model, is broadcast."""
+    """Count vectors as ``(id, term, n)``; Spark broadcasts the vocabulary only if it is small."""
     spark = df.sparkSession
     terms = spark.createDataFrame(list(enumerate(vocabulary)), "pos int, term string")
     entries = df.select(row_id, F.explode(vx.sparse_entries(F.col(counts))).alias("e"))
     return entries.select(
         row_id, F.col("e.pos").alias("pos"), F.col("e.value").cast("bigint").alias("n")
-    ).join(F.broadcast(terms), "pos").select(row_id, "term", "n")
+    ).join(terms, "pos").select(row_id, "term", "n")
 
 
 def word2vec(
@@ -189,18 +188,19 @@ def word2vec(
     vector_size: int = 10,
     min_count: int = 0,
     seed: int = 1,
-    partitions: int | None = None,
+    partitions: int = 4,
+    max_iter: int = 1,
 ):
     """Word vectors; a row's vector is the sum of its known words' over all its words.
 
     The fitted vocabulary lives on the driver, ``vector_size`` floats a word:
     on a large corpus raise ``min_count``. Training runs in ``partitions``
-    tasks, the cluster's cores unless given; one task repeats exactly.
+    tasks, whatever the cluster's size, and their vectors are averaged ``max_iter``
+    times; one task repeats exactly.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     return Word2Vec(
         vectorSize=vector_size, minCount=min_count, seed=seed,
-        numPartitions=partitions or cores, inputCol=tokens, outputCol=out,
+        numPartitions=partitions, maxIter=max_iter, inputCol=tokens, outputCol=out,
     ).fit(df)
 
 

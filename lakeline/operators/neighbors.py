@@ -126,7 +126,8 @@ def similarity_join(
     """Pairs that share a bucket in some table and lie closer than ``threshold``.
 
     Result ``(id_a, n_a, id_b, n_b, distance)`` over distinct vectors; with
-    ``self_join`` each pair once, ``id_a < id_b``.
+    ``self_join`` each pair once, ``id_a < id_b``, and a vector that ``n > 1`` rows have as
+    ``(id, n, id, n, 0.0)``, which stands for their ``n (n - 1) / 2`` pairs.
 
     Within a bucket only rows meet whose next projection also lies close
     enough: projections are on unit vectors, so two rows nearer than the
@@ -156,17 +157,21 @@ def similarity_join(
 
     left, right = keyed(a, "a", False), keyed(b, "b", True)
     met = _meet(left, right, ["tab", "bucket", "cell"])
+    copies = distinct_vectors(a, row_id, vector).where((F.col("n") > 1) & F.lit(threshold > 0)).select(
+        F.col("id").alias("id_a"), F.col("n").alias("n_a"), F.col("id").alias("id_b"),
+        F.col("n").alias("n_b"), F.lit(0.0).alias("distance"))
     met_before = F.col("id_a") >= F.col("id_b") if self_join else F.lit(False)
     for table in range(tables - 1):
         same = F.get("h_a", F.lit(table)) == F.get("h_b", F.lit(table))
         met_before = met_before | ((F.col("tab") > table) & same)
     # one condition, so that the distance is only worked out where it is needed
     distance = F.sqrt(vx.squared_distance(F.col("v_a"), F.col("v_b")))
-    return (
+    pairs = (
         met.withColumn("distance", F.when(~met_before, distance))
         .where(F.col("distance") < threshold)
         .select("id_a", "n_a", "id_b", "n_b", "distance")
     )
+    return pairs.union(copies) if self_join else pairs
 
 
 def exact_similarity_join(

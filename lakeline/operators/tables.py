@@ -24,6 +24,9 @@ def rename_columns(df: DataFrame, *names: str) -> DataFrame:
 
 def conform_schema(df: DataFrame, record: StructType) -> DataFrame:
     """View ``df`` as ``record``: match by name, widen types, fail on a missing column."""
+    missing = [name for name in record.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
     return df.to(record)
 
 
@@ -77,7 +80,7 @@ def key_split(
     """Two parts by key, the same on every run and under any partitioning.
 
     ``hashed`` spreads keys of any kind; without it a dense integer key is
-    taken as it is.
+    taken as it is. A NULL key is in the first part then.
     """
-    slot = F.pmod(F.xxhash64(key) if hashed else F.col(key), F.lit(parts))
+    slot = F.coalesce(F.pmod(F.xxhash64(key) if hashed else F.col(key), F.lit(parts)), F.lit(0))
     return df.where(slot < cut), df.where(slot >= cut)

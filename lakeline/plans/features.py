@@ -14,7 +14,7 @@ from lakeline.plans.registry import (
     rounded,
     tokenized,
 )
-from lakeline.session import spread
+from lakeline.session import dealt
 from lakeline.sources.files import table
 
 DICTIONARY = ["the", "de", "la", "der", "and", "que", "und", "les"]
@@ -177,7 +177,7 @@ def count_vectorize_vocab(spark, folder):
 @query("word2vec")
 def word2vec(spark, folder):
     df = tokenized(spark, folder)
-    model = ops.word2vec(df, "tokens", vector_size=10, min_count=0)
+    model = ops.word2vec(df, "tokens", vector_size=10, min_count=0, partitions=4, max_iter=1)
     return vx.vector_rows(model.transform(df), ["doc_id"], "vector")
 
 
@@ -271,7 +271,7 @@ def _sql_chi2(slots: str) -> str:
 def _item_vectors(spark, folder, columns, *slots):
     items = table(spark, folder, "lineitem", "l_returnflag", *columns)
     values = F.array(*[slot.cast("double") for slot in slots])
-    return spread(items).select(
+    return dealt(items).select(
         _code("l_returnflag", CODES).alias("label"), vx.as_vector(values).alias("features")
     )
 
@@ -349,7 +349,7 @@ def vector_index(spark, folder):
     slots = F.array(
         _code("l_returnflag", CODES), _code("l_linestatus", STATUS_CODES), F.col("l_quantity")
     )
-    vectors = spread(items).select(vx.as_vector(slots).alias("features"))
+    vectors = dealt(items).select(vx.as_vector(slots).alias("features"))
     indexed = ops.fit_vector_index(vectors, "features", max_categories=4).transform(vectors)
     both = F.arrays_zip(
         vx.vector_to_array("features").alias("value"), vx.vector_to_array("indexed").alias("index")

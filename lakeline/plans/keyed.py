@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakeline.operators import keyed as ops
 from lakeline.operators.mergeable import mergeable_aggregate
 from lakeline.plans.registry import documents, query, rounded, sql_word_rows
-from lakeline.session import spread
+from lakeline.session import dealt
 from lakeline.sources.files import table
 
 
@@ -127,7 +127,7 @@ def _add(state: tuple, values: np.ndarray) -> tuple:
     "SELECT l_suppkey, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY l_suppkey",
 )
 def mergeable(spark, folder):
-    items = spread(table(spark, folder, "lineitem", "l_suppkey", "l_quantity"))
+    items = dealt(table(spark, folder, "lineitem", "l_suppkey", "l_quantity"))
     means = mergeable_aggregate(
         items, "l_suppkey", "l_quantity",
         zero=lambda: (0.0, 0),

@@ -11,7 +11,7 @@ from lakeline.functions import text as tx
 from lakeline.functions import vectors as vx
 from lakeline.operators import features as ft
 from lakeline.sources.files import table
-from lakeline.session import spread
+from lakeline.session import dealt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,7 @@ def rounded(value: Column, digits: int = 6) -> Column:
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """``doc_id``, ``text`` and further columns of the documents, on all cores."""
-    return spread(table(spark, folder, "documents", "doc_id", "text", *columns), "doc_id")
+    return dealt(table(spark, folder, "documents", "doc_id", "text", *columns), "doc_id")
 
 
 def tokenized(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,7 @@ from lakeline.plans.registry import (
     rounded,
     text_sizes,
 )
-from lakeline.session import cached, spread, work_folder
+from lakeline.session import cached, dealt, work_folder
 from lakeline.sources.files import table
 
 
@@ -371,7 +371,7 @@ def eval_rmse(spark, folder):
     "FROM sums",
 )
 def eval_auc(spark, folder):
-    scored = spread(table(spark, folder, "lineitem", "l_linestatus", "l_extendedprice")).select(
+    scored = dealt(table(spark, folder, "lineitem", "l_linestatus", "l_extendedprice")).select(
         (F.col("l_linestatus") == "O").cast("double").alias("label"),
         F.col("l_extendedprice").alias("score"),
     )

@@ -20,6 +20,7 @@ def local_session(app: str = "lakeline", cores: str = "*", **conf: str) -> Spark
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.lakeline.scanPartitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -67,16 +68,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core when a scan comes in fewer partitions than cores.
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a scan over ``spark.lakeline.scanPartitions`` partitions, if the session sets it.
 
-    A large table has more splits than cores and passes through unchanged, so
-    no shuffle is added where it would cost. Call on scans only.
+    A local session does, as its tables are single files that Spark cannot split. A
+    cluster leaves it unset, and the scan is used as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    partitions = df.sparkSession.conf.get("spark.lakeline.scanPartitions", None)
+    return df.repartition(int(partitions), *keys) if partitions else df
 
 
 @contextmanager

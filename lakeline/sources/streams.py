@@ -47,12 +47,15 @@ def stream_files(
 ) -> DataFrame:
     """A folder of files as a stream; each file is read once.
 
-    ``path`` may also name a single file: the reader wants a folder or a
-    pattern, and as a pattern of one name it matches either.
+    ``path`` is a folder or a pattern. It may also name a single file, which is then
+    read as a pattern of one name, as the reader takes no file.
     """
     if schema is None:
         schema = spark.read.format(file_format).load(path).schema
     reader = spark.readStream.format(file_format).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(f"{path[:-1]}[{path[-1]}]")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    single = files.exists(place) and files.getFileStatus(place).isFile()
+    return reader.load(f"{path[:-1]}[{path[-1]}]" if single else path)
