@@ -9,10 +9,10 @@ the two k-mer sequences matches at least ``SIMILARITY`` of the distinct k-mers o
 Documents with equal words are folded first, so a group of copies costs one row. No bucket is written
 out as pairs. First each document is aligned with the busiest member of each of its buckets. Buckets
 whose members are then in one component are closed. Of the others, those of up to ``SMALL`` members
-align the members of different components. The members of larger ones meet in an exact join: their
-distinct k-mers are ordered from rare to common, two sets of the similarity must share one among
-the first fifth, and its places bound what they can share. Only documents outside the component of their
-bucket's busiest member look for partners there.
+align the members of different components. The members of larger ones meet by their distinct k-mers
+in an exact join. They are ordered from rare to common: two sets of the similarity must share one among the
+first fifth, and the places of the first one shared bound what they can share. Only documents outside the
+component of their bucket's busiest member look for partners there. All this goes by a number of each text.
 
 Text of fewer than five words is one k-mer. A document without any word (null, empty, white space)
 is a class of its own. Rows that share doc_id and words are one document.
@@ -38,6 +38,7 @@ SIMILARITY = 0.8
 KEPT = 5
 SKETCHES = 24
 SMALL = 64
+BEFORE = 16
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -125,6 +126,11 @@ def longest_rise(values: np.ndarray) -> np.ndarray:
     return np.array(chain[::-1], np.int64)
 
 
+def _narrow(words: np.ndarray) -> bytes:
+    """Three bytes of each word's hash: enough to tell the words of two texts apart in runs of five."""
+    return (words >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
 _PRINTS = pa.schema([
     ("doc_id", pa.int64()), ("node", pa.binary()), ("seq", pa.binary()),
     ("keys", pa.list_(pa.int64())),
@@ -142,14 +148,15 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = texts.hashes[0][first:last]
                 rows[0].append(doc_id)
                 rows[1].append(whole[row].tobytes())
-                rows[2].append((words >> np.uint64(32)).astype(np.uint32).tobytes())
+                rows[2].append(_narrow(words))
                 rows[3].append(sketch(words).view(np.int64) if len(words) else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind.type) for column, kind in zip(rows, _PRINTS)], schema=_PRINTS)
 
 
 def _wide(seq: bytes) -> np.ndarray:
-    return mixed(np.frombuffer(seq, np.uint32).astype(np.uint64))
+    parts = np.frombuffer(seq, np.uint8).reshape(-1, 3).astype(np.uint64)
+    return mixed(parts[:, 0] | parts[:, 1] << np.uint64(8) | parts[:, 2] << np.uint64(16))
 
 
 @F.pandas_udf(DoubleType())
@@ -183,39 +190,47 @@ def _ordered(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+def standing(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, key, degree, root, n, main`` of the members of buckets that hold several components.
+
+    ``n`` is the size of the bucket and ``main`` the root of its busiest member.
+    """
+    placed = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_buckets = placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node", "root")).getField("root").alias("main"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    ).where("low <> high").drop("low", "high")
+    return stored(placed.join(open_buckets, "key"), "placed")
+
+
 def linked_texts(prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``a, b`` links between different texts that hold each component together.
 
-    ``prints (node, seq, keys)`` has one row for each text.
+    ``prints (node, seq, keys)`` has one row for each text; no two hash functions share a key.
     """
-    slots = prints.select("node", F.posexplode("keys").alias("slot", "key"))
-    shared = slots.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(slots.join(shared, ["slot", "key"]), "members")
+    slots = prints.select("node", F.explode("keys").alias("key"))
+    shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stored(slots.join(shared, "key"), "members")
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    members = stored(
-        members.join(degrees, "node").select("node", "slot", "key", "degree"), "members")
+    members = stored(members.join(degrees, "node").select("node", "key", "degree"), "members")
     leader = F.max(F.struct("degree", "node")).getField("node").alias("leader")
-    stars = members.groupBy("slot", "key").agg(leader)
-    pairs = members.join(stars, ["slot", "key"]).where("node <> leader")
+    stars = members.groupBy("key").agg(leader)
+    pairs = members.join(stars, "key").where("node <> leader")
     tried = stored(verified(pairs.select(*_ordered("node", "leader")).distinct(), prints, similarity), "tried")
     links = tried.where("linked").select("a", "b")
-    roots = stored(components(links), "roots")
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_buckets = placed.groupBy("slot", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node", "root")).getField("root").alias("main"),
-        F.min("root").alias("low"), F.max("root").alias("high"),
-    ).where("low <> high").drop("low", "high")
-    placed = stored(placed.join(open_buckets, ["slot", "key"]), "placed")
+
+    placed = standing(members, links)
+    seqs = stored(prints.select("node", "seq").join(placed.select("node").distinct(), "node"), "open")
     few = placed.where(F.col("n") <= SMALL)
-    one = few.select("slot", "key", F.col("node").alias("one"), F.col("root").alias("root_one"))
-    other = few.select("slot", "key", F.col("node").alias("other"), F.col("root").alias("root_other"))
-    crossed = one.join(other, ["slot", "key"]).where("one < other AND root_one <> root_other")
+    one = few.select("key", F.col("node").alias("one"), F.col("root").alias("root_one"))
+    other = few.select("key", F.col("node").alias("other"), F.col("root").alias("root_other"))
+    crossed = one.join(other, "key").where("one < other AND root_one <> root_other")
     crowd = placed.where(F.col("n") > SMALL).groupBy("node", "root").agg(
         F.max(F.col("root") != F.col("main")).alias("seeks"))
-    met = sharing(crowd.join(prints.select("node", "seq"), "node"), similarity)
+    met = sharing(rare_runs(crowd.join(seqs, "node"), similarity), similarity)
     fresh = crossed.select(*_ordered("one", "other")).union(met.select(*_ordered("one", "other"))).distinct()
     fresh = fresh.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(verified(fresh, prints, similarity), "tried")
+    more = stored(verified(fresh, seqs, similarity), "tried")
     return links.union(more.where("linked").select("a", "b"))
 
 
@@ -224,10 +239,11 @@ def _runs(seqs):
     return seqs.map(lambda seq: np.unique(shingles(_wide(seq))).view(np.int64))
 
 
-def sharing(texts: DataFrame, similarity: float) -> DataFrame:
-    """``one, other``: all pairs whose sets of k-mers can reach the similarity, in different roots.
+def rare_runs(texts: DataFrame, similarity: float) -> DataFrame:
+    """``node, root, seeks, size, run, place, before``: of each text's distinct k-mers, rare ones first,
+    those of which two texts of the similarity share at least one. ``before`` holds the last ones before.
 
-    ``texts (node, root, seeks, seq)``; at least one of a pair seeks.
+    ``texts (node, root, seeks, seq)``; k-mers that no seeker has are left out.
     """
     runs = texts.select("node", "root", "seeks", _runs("seq").alias("runs"))
     rows = stored(runs.select(
@@ -237,13 +253,30 @@ def sharing(texts: DataFrame, similarity: float) -> DataFrame:
     ranked = rows.join(often, "run").withColumn("place", F.row_number().over(order) - 1)
     first = ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
                          & (F.col("often") > 1) & F.col("sought"))
-    first = stored(first.select("node", "root", "seeks", "size", "run", "place"), "first")
-    one = first.where("seeks").toDF("one", "root_one", "seeks_one", "size_one", "run", "place_one")
-    other = first.toDF("other", "root_other", "seeks_other", "size_other", "run", "place_other")
+    before = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)
+    first = first.withColumn("before", F.collect_list("run").over(before))
+    return stored(first.select("node", "root", "seeks", "size", "run", "place", "before"), "first")
+
+
+def sharing(first: DataFrame, similarity: float) -> DataFrame:
+    """``one, other``: all pairs whose sets of k-mers can reach the similarity, in different roots.
+
+    ``first`` is that of ``rare_runs``; at least one of a pair seeks. A pair is due at the first k-mer it
+    shares, so it is passed over at one that follows another of the last ``BEFORE``.
+    """
+    one = first.where("seeks").select(
+        "run", F.col("node").alias("one"), F.col("root").alias("root_one"),
+        F.col("size").alias("size_one"), F.col("place").alias("place_one"),
+        F.col("before").alias("before_one"))
+    other = first.select(
+        "run", F.col("node").alias("other"), F.col("root").alias("root_other"), F.col("seeks").alias("seeks_other"),
+        F.col("size").alias("size_other"), F.col("place").alias("place_other"),
+        F.col("before").alias("before_other"))
     most = F.least(F.col("size_one") - F.col("place_one"), F.col("size_other") - F.col("place_other"))
     least = (F.col("size_one") + F.col("size_other")) * similarity / (1 + similarity) - 1e-9
     apart = (F.col("root_one") != F.col("root_other")) & (~F.col("seeks_other") | (F.col("one") < F.col("other")))
-    return one.join(other, "run").where(apart & (most >= least)).select("one", "other").distinct()
+    due = ~F.arrays_overlap("before_one", "before_other")
+    return one.join(other, "run").where(apart & (most >= least) & due).select("one", "other").distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -259,9 +292,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     least = worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stored(
         worded.join(least, [worded["node"] == least["node"], worded["doc_id"].eqNullSafe(least["doc_id"])],
-                    "left_semi").dropDuplicates(["node"]), "texts")
-    roots = components(linked_texts(texts, similarity))
-    placed = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                    "left_semi").dropDuplicates(["node"]).withColumn("number", F.monotonically_increasing_id()), "texts")
+    roots = components(linked_texts(texts.select(F.col("number").alias("node"), "seq", "keys"), similarity))
+    placed = texts.select("doc_id", "node", "number").join(
+        roots.select(F.col("node").alias("number"), "root"), "number", "left").withColumn("root", F.coalesce("root", "number"))
     first = F.min(F.struct("doc_id", "node"))
     named = placed.groupBy("root").agg(first.alias("first")).select(
         "root", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"))
