@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lakeline.llm import bpe, languages, leaks, licenses, near_copies, personal, quality, repeats, warc, wavelet
+from lakeline.llm import (
+    bpe, languages, leaks, licenses, near_copies, negatives, personal, quality, repeats, warc, wavelet,
+)
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -15,5 +17,6 @@ QUERIES = {
     "op8_personal": personal.op8_personal,
     "op9_repeats": repeats.op9_repeats,
     "op10_quality": quality.op10_quality,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
 }
-ORACLES = {"op7_warc": warc.OP7_SQL, "op9_repeats": repeats.OP9_SQL}
+ORACLES = {"op7_warc": warc.OP7_SQL, "op9_repeats": repeats.OP9_SQL, "op11_hard_negatives": negatives.OP11_SQL}
