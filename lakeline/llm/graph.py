@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeline.operators.joins import lookup_join
 from lakeline.session import stored
 
 
@@ -12,9 +13,10 @@ def components(links: DataFrame) -> DataFrame:
     """``node, root`` for each node of ``links (a, b)``: root is the smallest node reached.
 
     Large-star and small-star steps in turn: a star step hangs every neighbour of a node on the
-    smallest one, so the number of links never grows and a node with very many links is only ever
-    grouped by a minimum that combines before the shuffle. Each round is written to the shared
-    folder; rounds grow with the logarithm of the longest chain.
+    smallest one, so the number of links never grows. A node's smallest neighbour is a minimum that
+    combines before the shuffle, and comes back to its links by ``lookup_join``, which cuts nodes with very
+    many links over tasks. Each round is written to the shared folder; rounds grow with the logarithm of
+    the longest chain.
     """
     links = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -22,13 +24,11 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         both = links.union(links.select(F.col("b"), F.col("a"))).toDF("a", "b")
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        hung = large.join(least, "a")
+        large = _met(both, F.least("a", F.min("b"))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stored(large, "links")
+        hung = _met(large, F.min("b"))
         small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(
-            least.select("a", F.col("m").alias("b"))).distinct()
+            hung.select("a", F.col("m").alias("b"))).distinct()
         small = stored(small, "links")
         if _mark(small) == _mark(links):
             break
@@ -37,6 +37,12 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _met(links: DataFrame, least: Column) -> DataFrame:
+    """``a, b, m``: each link with the least neighbour of ``a``."""
+    known = stored(links.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("uses")), "least")
+    return lookup_join(links, known, "a", "uses", "b").select("a", "b", "m")
+
+
 def _mark(links: DataFrame) -> tuple:
     """Count and order-free checksum of a link table."""
     wide = F.xxhash64("a", "b").cast("decimal(20,0)")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from lakeline.llm import (
-    bpe, languages, leaks, licenses, near_copies, negatives, personal, quality, repeats, warc, wavelet,
+    bpe, languages, leaks, licenses, near_copies, near_vectors, negatives, personal,
+    quality, repair, repeats, warc, wavelet,
 )
 
 QUERIES = {
@@ -18,5 +19,7 @@ QUERIES = {
     "op9_repeats": repeats.op9_repeats,
     "op10_quality": quality.op10_quality,
     "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_conversations": repair.op12_conversations,
+    "op13_near_vectors": near_vectors.op13_near_vectors,
 }
 ORACLES = {"op7_warc": warc.OP7_SQL, "op9_repeats": repeats.OP9_SQL, "op11_hard_negatives": negatives.OP11_SQL}
