@@ -24,10 +24,12 @@ def register_average(spark: SparkSession, name: str = "udfAvg") -> str:
     The buffer (sum, count) is kept by the built-in aggregates, which combine
     before the shuffle. A Python aggregate under the same name would send each
     group, and a global average the whole table, to one worker.
+
+    The total may be of any numeric type. Sum large integers as ``CAST(x AS DECIMAL(38,0))``:
+    the sum is then exact and is rounded once, here.
     """
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(total DECIMAL(38,0), n BIGINT) "
-        "RETURNS DOUBLE RETURN "
-        "CASE WHEN n = 0 THEN double('NaN') ELSE CAST(total AS DOUBLE) / n END"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(total DOUBLE, n BIGINT) "
+        "RETURNS DOUBLE RETURN CASE WHEN n = 0 THEN double('NaN') ELSE total / n END"
     )
     return name

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 EMIT_ROWS = 10_000
+NAN = math.nan
 
 
-def _plain(value: Any) -> Any:
-    return None if pd.isna(value) else value
+def _key(value: Any) -> Any:
+    """One object for all NaN, so that they are one key; NULL stays None."""
+    return NAN if isinstance(value, float) and value != value else value
 
 
 def mergeable_aggregate(
@@ -40,68 +43,75 @@ def mergeable_aggregate(
     States arrive sorted by key and are merged as they stream by, so neither a
     key's rows nor its states are ever held together.
 
-    ``state`` and ``result`` are DDL field lists for the two tuples.
+    Keys and states stay in the Arrow types of their columns all the way, so large integers keep their last
+    digit next to NULL, and NULL and NaN are two keys. ``state`` and ``result`` are DDL
+    field lists for the two tuples.
     """
     fields = [field.name for field in StructType.fromDDL(state)]
     outputs = [field.name for field in StructType.fromDDL(result)]
     key_type = df.schema[key].dataType.simpleString()
+    key_state, key_result = (f"`{key}` {key_type}, {ddl}" for ddl in (state, result))
+    state_schema, result_schema = (
+        df.sparkSession.createDataFrame([], ddl).toArrow().schema for ddl in (key_state, key_result))
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states: dict[Any, tuple] = {}
-
-        def emit() -> pd.DataFrame:
-            rows = [(k, *s) for k, s in states.items()]
-            states.clear()
-            return pd.DataFrame(rows, columns=[key, *fields])
+    def packed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema)
 
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[Any, tuple] = {}
         for batch in batches:
-            codes, keys = pd.factorize(batch[key], use_na_sentinel=False)
+            if not batch.num_rows:
+                continue
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            keys, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
             order = np.argsort(codes, kind="stable")
-            values, present = batch[value].to_numpy()[order], batch[value].notna().to_numpy()[order]
+            values = batch.column(1).take(pa.array(order))
             ends = np.cumsum(np.bincount(codes, minlength=len(keys)))
-            for k, begin, end in zip(keys, np.r_[0, ends], ends):
-                k, part = _plain(k), slice(begin, end)
-                seen = values[part] if present[part].all() else values[part][present[part]]
-                states[k] = reduce(states[k] if k in states else zero(), seen)
+            for k, begin, end in zip(map(_key, keys), np.r_[0, ends], ends):
+                if end > begin:
+                    seen = values.slice(begin, end - begin).drop_null().to_numpy(zero_copy_only=False)
+                    states[k] = reduce(states[k] if k in states else zero(), seen)
             if len(states) >= max_keys:
-                yield emit()
+                yield packed([(k, *s) for k, s in states.items()], state_schema)
+                states.clear()
         if states:
-            yield emit()
+            yield packed([(k, *s) for k, s in states.items()], state_schema)
 
-    def merged(last: Callable[[tuple], tuple], columns: list[str]) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merged(last: Callable[[tuple], tuple], schema: pa.Schema) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_key, open_state, done = None, None, []
             for batch in batches:
-                for k, *new in batch[[key, *fields]].itertuples(index=False, name=None):
-                    k, new = _plain(k), tuple(new)
-                    if open_state is not None and k == open_key:
+                for k, *new in zip(*(column.to_pylist() for column in batch.columns)):
+                    k, new = _key(k), tuple(new)
+                    if open_state is not None and (k is open_key or k == open_key):
                         open_state = merge(open_state, new)
                         continue
                     if open_state is not None:
                         done.append((open_key, *last(open_state)))
                     open_key, open_state = k, new
                     if len(done) >= EMIT_ROWS:
-                        yield pd.DataFrame(done, columns=[key, *columns])
+                        yield packed(done, schema)
                         done = []
             if open_state is not None:
                 done.append((open_key, *last(open_state)))
             if done:
-                yield pd.DataFrame(done, columns=[key, *columns])
+                yield packed(done, schema)
 
         return run
 
-    key_state = f"`{key}` {key_type}, {state}"
-    states = df.select(key, value).mapInPandas(partial, key_state)
+    states = df.select(key, value).mapInArrow(partial, key_state)
     if salts > 1:
         salted = states.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         states = (
             salted.repartition(key, "__salt")
             .sortWithinPartitions(key)
-            .drop("__salt")
-            .mapInPandas(merged(lambda s: s, fields), key_state)
+            .select(key, *fields)
+            .mapInArrow(merged(lambda s: s, state_schema), key_state)
         )
     return (
         states.repartition(key)
         .sortWithinPartitions(key)
-        .mapInPandas(merged(finish, outputs), f"`{key}` {key_type}, {result}")
+        .mapInArrow(merged(finish, result_schema), key_result)
     )

@@ -9,7 +9,10 @@ being copies of one vector then costs one row, and no pair is lost.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil, erf, exp, log, pi, sqrt
 
+import numpy as np
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vector
@@ -32,16 +35,42 @@ def fit_lsh(
 
 
 def lsh_hash(model: BucketedRandomProjectionLSHModel, df: DataFrame) -> DataFrame:
-    """Add the hashes, one single-slot vector per table."""
-    return model.transform(df)
+    """Add the hashes, one single-slot vector per table; rows that have them stay as they are."""
+    return df if model.getOutputCol() in df.columns else model.transform(df)
+
+
+def _hashes(model: BucketedRandomProjectionLSHModel) -> Column:
+    return F.transform(F.col(model.getOutputCol()), lambda h: vector_to_array(h)[0])
 
 
 def nearest(
     model: BucketedRandomProjectionLSHModel, df: DataFrame, key: Vector, k: int = 2,
-    distance: str = "distCol",
+    distance: str = "distCol", ties: str | None = None,
 ) -> DataFrame:
-    """The ``k`` nearest rows among those that share a bucket with ``key``."""
-    return model.approxNearestNeighbors(df, key, k, distCol=distance)
+    """The ``k`` nearest rows, exactly; all rows if there are fewer. Raw or hashed rows.
+
+    Buckets around that of ``key`` are probed ring by ring: a row's ring is how many buckets it is away in the
+    table where it is farthest. The rings that hold ``k`` rows give a ``k``-th distance. Projections are on
+    unit vectors, so a row farther out than that distance on any projection can't be nearer, and only
+    rings up to there are looked at. No step sorts the table: each keeps the best ``k`` of a partition.
+    Rows at equal distance go by the column ``ties``, if one is named.
+    """
+    spark, length = df.sparkSession, model.getBucketLength()
+    probe = model.transform(spark.createDataFrame([(key,)], [model.getInputCol()]))
+    centre = probe.select(_hashes(model).alias("h")).first()["h"]
+    away = F.zip_with(_hashes(model), vx.literal_vector(centre), lambda x, y: F.abs(x - y))
+    gap = F.sqrt(vx.squared_distance(
+        vector_to_array(model.getInputCol()), vx.literal_vector(key.toArray())))
+    ring = F.array_max(away)
+    rows = lsh_hash(model, df)
+    filled = rows.select(ring.alias("ring")).orderBy("ring").limit(k).agg(F.max("ring")).first()[0]
+    if filled is None:
+        return rows.withColumn(distance, gap).limit(0)
+    found = rows.where(ring <= filled).select(gap.alias("gap")).orderBy("gap").limit(k)
+    farthest = found.agg(F.max("gap")).first()[0]
+    reach = max(filled, farthest * (1 + 1e-9) / length + 1)
+    order = [distance] + ([ties] if ties else [])
+    return rows.where(ring <= reach).withColumn(distance, gap).orderBy(*order).limit(k)
 
 
 def distinct_vectors(df: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -114,6 +143,17 @@ def _meet(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     return left.join(right, on)
 
 
+def _hashed(model: BucketedRandomProjectionLSHModel, df: DataFrame, row_id: str, vector: str) -> DataFrame:
+    """``(id, n, v, h)`` per distinct vector, with the hashes the rows bring or new ones."""
+    if model.getOutputCol() in df.columns:
+        values = df.select(row_id, vector_to_array(vector).alias("v"), _hashes(model).alias("h"))
+        return values.groupBy("v", "h").agg(
+            F.min(row_id).alias("id"), F.count(F.lit(1)).alias("n")).select("id", "n", "v", "h")
+    rows = distinct_vectors(df, row_id, vector)
+    hashed = model.transform(rows.withColumn(model.getInputCol(), vx.as_vector(F.col("v"))))
+    return hashed.select("id", "n", "v", _hashes(model).alias("h"))
+
+
 def similarity_join(
     model: BucketedRandomProjectionLSHModel,
     a: DataFrame,
@@ -123,7 +163,10 @@ def similarity_join(
     threshold: float,
     self_join: bool = False,
 ) -> DataFrame:
-    """Pairs that share a bucket in some table and lie closer than ``threshold``.
+    """Pairs that share a bucket in some table and lie closer than ``threshold``; raw or hashed rows.
+
+    The pairs are those of the library's own join for the model. With one projection to a
+    table, buckets of a large table hold a fixed share of it: ``compound_join`` is the form that scales.
 
     Result ``(id_a, n_a, id_b, n_b, distance)`` over distinct vectors; with
     ``self_join`` each pair once, ``id_a < id_b``, and a vector that ``n > 1`` rows have as
@@ -137,16 +180,10 @@ def similarity_join(
     """
     length, tables = model.getBucketLength(), model.getNumHashTables()
     width = threshold + length
-    hashes = F.transform(F.col(model.getOutputCol()), lambda h: vector_to_array(h)[0])
 
     def keyed(df: DataFrame, tag: str, reach: bool) -> DataFrame:
-        rows = distinct_vectors(df, row_id, vector)
-        hashed = model.transform(rows.withColumn(model.getInputCol(), vx.as_vector(F.col("v"))))
-        hashed = hashed.select(
-            F.col("id").alias(f"id_{tag}"), F.col("n").alias(f"n_{tag}"),
-            F.col("v").alias(f"v_{tag}"), hashes.alias(f"h_{tag}"),
-        )
-        hashed = stored(hashed, f"hashed-{tag}")
+        hashed = stored(_hashed(model, df, row_id, vector).toDF(
+            f"id_{tag}", f"n_{tag}", f"v_{tag}", f"h_{tag}"), f"hashed-{tag}")
         h = F.col(f"h_{tag}")
         rows = hashed.select("*", F.posexplode(h).alias("tab", "bucket"))
         near = F.floor(F.get(h, (F.col("tab") + 1) % tables) * length / width).cast("bigint")
@@ -174,6 +211,102 @@ def similarity_join(
     return pairs.union(copies) if self_join else pairs
 
 
+@dataclass(frozen=True)
+class CompoundLSH:
+    """``tables`` alternative keys, each of ``per_key`` projections that must all agree."""
+
+    model: BucketedRandomProjectionLSHModel
+    per_key: int
+    tables: int
+
+    def keys(self, hashes: Column) -> Column:
+        """The keys of a row with these hashes, one for each table."""
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(self.tables - 1)),
+            lambda table: F.xxhash64(table, F.slice(hashes, table * self.per_key + 1, self.per_key)))
+
+
+def same_bucket(distance: float, length: float, dimensions: int) -> float:
+    """Chance that two points at ``distance`` share a bucket of one random unit projection."""
+    ratio = length * sqrt(dimensions) / distance
+    return erf(ratio / sqrt(2)) - 2 / (sqrt(2 * pi) * ratio) * (1 - exp(-ratio * ratio / 2))
+
+
+SAMPLE_ROWS = 1024
+WIDTH = 4.0
+
+
+def fit_compound_lsh(
+    df: DataFrame, vector: str, threshold: float, recall: float = 0.98, candidates: float = 4.0,
+    out: str = "hashes", seed: int = 1,
+) -> CompoundLSH:
+    """Keys that find a pair at ``threshold`` with probability ``recall``.
+
+    Two rows share a key with a probability that falls with their distance. The distances between at most ``SAMPLE_ROWS``
+    rows, from twice the threshold on, say how a pair picked at random does; as many projections are joined to a key
+    as leave a row about ``candidates`` random partners in a bucket, and as many tables are
+    taken as ``recall`` then asks for. So the work for a row grows with the tables, with the logarithm
+    of the rows, and not with the rows. Pairs nearer than the threshold are found more often than ``recall``.
+    """
+    n = df.count()
+    sample = df.select(vector).sample(fraction=min(1.0, 2 * SAMPLE_ROWS / max(n, 1)), seed=seed).limit(SAMPLE_ROWS)
+    points = np.array([row[0].toArray() for row in sample.collect()])
+    per_key, size, tables = 1, points.shape[1] if len(points) else 1, 1
+    length = WIDTH * threshold / sqrt(size)
+    near = same_bucket(threshold, length, size)
+    if len(points) > 1:
+        squares = (points**2).sum(axis=1)
+        gaps = np.sqrt(np.maximum(0, squares[:, None] + squares - 2 * points @ points.T))
+        gaps = gaps[np.triu_indices(len(points), 1)]
+        far = gaps[gaps >= 2 * threshold]
+        if len(far):
+            chances = np.array([same_bucket(x, length, size) for x in np.quantile(far, np.linspace(0, 1, 201))])
+            while per_key < 32 and n * (chances**per_key).mean() > candidates:
+                per_key += 1
+    tables = max(1, ceil(log(1 - recall) / log(1 - near**per_key)))
+    return CompoundLSH(fit_lsh(df, vector, out, length, per_key * tables, seed), per_key, tables)
+
+
+def compound_candidates(lsh: CompoundLSH, left: DataFrame, right: DataFrame, self_join: bool = False) -> DataFrame:
+    """``(id_a, id_b)`` of the rows ``(id, keys)`` that share a key in some table, each pair once.
+
+    Only ids and keys meet; a key that very many rows have is cut into blocks.
+    """
+    def keyed(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.select(F.col("id").alias(f"id_{tag}"), F.posexplode("keys").alias("tab", "key"))
+
+    met = _meet(keyed(left, "a"), keyed(right, "b"), ["tab", "key"])
+    return (met.where("id_a < id_b") if self_join else met).select("id_a", "id_b").distinct()
+
+
+def compound_join(
+    lsh: CompoundLSH, a: DataFrame, b: DataFrame, row_id: str, vector: str, threshold: float,
+    self_join: bool = False,
+) -> DataFrame:
+    """Pairs that share a key and lie closer than ``threshold``; rows raw or hashed, result as ``similarity_join``.
+
+    Vectors travel to the candidate pairs alone, once to each side.
+    """
+    def rows(df: DataFrame, tag: str) -> DataFrame:
+        hashed = _hashed(lsh.model, df, row_id, vector)
+        return stored(hashed.select("id", "n", "v", lsh.keys(F.col("h")).alias("keys")), f"keys-{tag}")
+
+    left = rows(a, "a")
+    right = left if self_join else rows(b, "b")
+    pairs = compound_candidates(lsh, left.select("id", "keys"), right.select("id", "keys"), self_join)
+    sides = [side.select(*(F.col(name).alias(f"{name}_{tag}") for name in ("id", "n", "v")))
+             for side, tag in ((left, "a"), (right, "b"))]
+    gap = F.sqrt(vx.squared_distance(F.col("v_a"), F.col("v_b")))
+    near = pairs.join(sides[0], "id_a").join(sides[1], "id_b").withColumn("distance", gap).where(
+        F.col("distance") < threshold).select("id_a", "n_a", "id_b", "n_b", "distance")
+    if not self_join:
+        return near
+    copies = left.where((F.col("n") > 1) & F.lit(threshold > 0)).select(
+        F.col("id").alias("id_a"), F.col("n").alias("n_a"), F.col("id").alias("id_b"),
+        F.col("n").alias("n_b"), F.lit(0.0).alias("distance"))
+    return near.union(copies)
+
+
 def exact_similarity_join(
     a: DataFrame,
     b: DataFrame,

@@ -1,14 +1,18 @@
 """Similarity joins and nearest neighbours."""
 
+from pyspark.ml.feature import Normalizer, StandardScaler
 from pyspark.sql import functions as F
 
 from lakeline.functions import vectors as vx
+from lakeline.operators import features as ft
 from lakeline.operators import neighbors as ops
-from lakeline.plans.registry import embeddings, query, rounded
+from lakeline.plans.registry import embeddings, query, rounded, tokenized
+from lakeline.session import stored
 from lakeline.sources.files import table
 
 BUCKET_LENGTH = 0.25
-NEAR = 1.1
+#: Of documents: a few words in a hundred differ.
+CLOSE = 0.3
 
 
 def _model(df):
@@ -24,25 +28,45 @@ def lsh_hash(spark, folder):
     )
 
 
+def _text_vectors(spark, folder):
+    """``doc_id, features``: 64 hashed term counts of a document, less their mean direction, of length 1."""
+    counts = ft.hashing_tf(tokenized(spark, folder), "tokens", "counts", 64)
+    counts = Normalizer(inputCol="counts", outputCol="direction").transform(counts.select("doc_id", "counts"))
+    centred = StandardScaler(withMean=True, withStd=False, inputCol="direction", outputCol="centred").fit(
+        counts).transform(counts)
+    rows = Normalizer(inputCol="centred", outputCol="features").transform(centred)
+    return stored(rows.where(F.size(F.unwrap_udt("counts")["indices"]) > 0).select("doc_id", "features"), "text-vectors")
+
+
 @query("lsh_similarity_join")
 def lsh_similarity_join(spark, folder):
-    df = embeddings(spark, folder)
-    low, high = df.where(F.col("label") < 5), df.where(F.col("label") >= 5)
-    return ops.similarity_join(_model(df), low, high, "vec_id", "features", NEAR)
+    """Documents without a label next to those that have one."""
+    df = _text_vectors(spark, folder)
+    labelled = table(spark, folder, "labels", "doc_id").distinct()
+    known, rest = df.join(labelled, "doc_id", "left_semi"), df.join(labelled, "doc_id", "left_anti")
+    lsh = ops.fit_compound_lsh(df, "features", CLOSE)
+    return ops.compound_join(lsh, known, rest, "doc_id", "features", CLOSE)
 
 
 @query("lsh_self_join")
 def lsh_self_join(spark, folder):
-    df = embeddings(spark, folder)
-    return ops.similarity_join(_model(df), df, df, "vec_id", "features", NEAR, self_join=True)
+    df = _text_vectors(spark, folder)
+    lsh = ops.fit_compound_lsh(df, "features", CLOSE)
+    return ops.compound_join(lsh, df, df, "doc_id", "features", CLOSE, self_join=True)
 
 
-@query("lsh_nearest")
+@query(
+    "lsh_nearest",
+    "WITH first AS (SELECT CAST(embedding AS DOUBLE[]) AS key FROM embeddings ORDER BY vec_id LIMIT 1), "
+    "gaps AS (SELECT vec_id, list_distance(CAST(embedding AS DOUBLE[]), key) AS distance "
+    "FROM embeddings, first) "
+    "SELECT vec_id, round(distance, 6) AS distance FROM gaps ORDER BY gaps.distance, vec_id LIMIT 10",
+)
 def lsh_nearest(spark, folder):
     df = embeddings(spark, folder)
     key = df.orderBy("vec_id").first()["features"]
-    found = ops.nearest(_model(df), df, key, k=2)
-    return found.select("vec_id", F.col("distCol").alias("distance"))
+    found = ops.nearest(_model(df), df, key, k=10, ties="vec_id")
+    return found.select("vec_id", rounded(F.col("distCol")).alias("distance"))
 
 
 @query(

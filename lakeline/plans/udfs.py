@@ -38,3 +38,20 @@ def udaf_avg_column(spark, folder):
     return items.groupBy("l_returnflag").agg(
         rounded(average(F.col("l_orderkey"))).alias("mean")
     )
+
+
+@query(
+    "udaf_avg_sql_fractions",
+    "SELECT l_returnflag, round(avg(l_discount), 6) AS mean, "
+    "round(avg(CAST(l_extendedprice AS DECIMAL(18,2))), 6) AS mean_price FROM lineitem GROUP BY l_returnflag",
+)
+def udaf_avg_sql_fractions(spark, folder):
+    name = register_average(spark)
+    means = sql_over(
+        table(spark, folder, "lineitem", "l_returnflag", "l_discount", "l_extendedprice"), "lakeline_items",
+        f"SELECT l_returnflag, {name}(sum(l_discount), count(l_discount)) AS mean, "
+        f"{name}(sum(CAST(l_extendedprice AS DECIMAL(18,2))), count(l_extendedprice)) AS mean_price "
+        "FROM lakeline_items GROUP BY l_returnflag",
+    )
+    return means.select(
+        "l_returnflag", rounded(F.col("mean")).alias("mean"), rounded(F.col("mean_price")).alias("mean_price"))

@@ -89,7 +89,39 @@ def test_mergeable_null_key_and_no_rows(spark):
     assert mean_of(df.where("v > 100")).count() == 0
 
 
+def test_mergeable_keeps_integer_keys_and_values_next_to_null(spark):
+    big = 2**53
+    df = spark.createDataFrame(
+        [(big, big + 1), (big + 1, 1), (None, 5), (big + 1, None), (None, 2), (7, None)], "k bigint, v bigint")
+    for settings in ({}, {"max_keys": 1}, {"salts": 1}):
+        found = mergeable_aggregate(
+            df.repartition(3), "k", "v", zero=lambda: (0, None),
+            reduce=lambda s, values: (s[0] + int(values.sum()), max([x for x in (s[1], *values.tolist()) if x is not None], default=None)),
+            merge=lambda a, b: (a[0] + b[0], max([x for x in (a[1], b[1]) if x is not None], default=None)),
+            finish=lambda s: s, state="total bigint, top bigint", result="total bigint, top bigint", **settings)
+        assert as_map(found) == {big: (big + 1, big + 1), big + 1: (1, 1), None: (7, 5), 7: (0, None)}
+
+
+def test_mergeable_keeps_nan_and_null_apart(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (None, 2.0), (nan, 3.0), (0.0, 4.0), (-0.0, 6.0)], "k double, v double")
+    for parts in (1, 4):
+        found = mean_of(df.repartition(parts), max_keys=1).collect()
+        assert sorted((str(r.k), r["mean"]) for r in found if r.k != 0) == [("None", 2.0), ("nan", 2.0)]
+        assert [r["mean"] for r in found if r.k == 0] == [5.0]
+
+
+def test_sql_average_of_fractions(spark):
+    name = register_average(spark)
+    spark.createDataFrame([(0.4, 2**53 + 1), (0.4, 2**53 + 1), (None, None)], "x double, n bigint").createOrReplaceTempView("fractions")
+    row = spark.sql(
+        f"SELECT {name}(sum(x), count(x)) AS a, {name}(sum(CAST(x AS DECIMAL(9,2))), count(x)) AS b, "
+        f"{name}(sum(CAST(n AS DECIMAL(38,0))), count(n)) AS c, {name}(sum(n), 0L) AS d FROM fractions").first()
+    assert tuple(row)[:3] == (0.4, 0.4, float(2**53 + 1)) and math.isnan(row.d)
+
+
 def test_custom_average(spark, tmp_path):
+    # fixed values: the rows behind the golden average
     (tmp_path / "people.json").write_text("\n".join(
         f'{{"name": "{name}", "age":  {age}}}'
         for name, age in (("zhangsan", 20), ("lisi", 30), ("wangwu", 40), ("maliu", 50))
