@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import LDA, GaussianMixture, GaussianMixtureModel, KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -32,15 +34,26 @@ def centre_rows(df: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
 def kmeans_wssse(
     df: DataFrame, vector: str, centres: Sequence[Sequence[float]]
 ) -> DataFrame:
-    """Sum over rows of the squared distance to the nearest centre.
+    """Sum over rows of the squared distance to the nearest centre; NULL without rows.
 
-    The centres of a model are few; they go into the plan as constants, so the
-    sum is one scan with partial sums and no join.
+    The centres of a model are few; each task gets them once, as one array, and looks for the
+    nearest of a whole batch at a time. The plan is the same for any number of centres.
     """
-    values = df.select(vector_to_array(vector).alias("v"))
-    gaps = [vx.squared_distance(F.col("v"), vx.literal_vector(centre)) for centre in centres]
-    nearest = gaps[0] if len(gaps) == 1 else F.least(*gaps)
-    return values.agg(F.sum(nearest).alias("wssse"))
+    table = np.array([list(map(float, centre)) for centre in centres])
+
+    def batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).drop_null()
+            if len(values):
+                rows = values.flatten().to_numpy().reshape(len(values), -1)
+                nearest = np.full(len(rows), np.inf)
+                for centre in table:
+                    gap = rows - centre
+                    np.minimum(nearest, np.einsum("ij,ij->i", gap, gap), out=nearest)
+                yield pa.RecordBatch.from_pydict({"wssse": [float(nearest.sum())]})
+
+    sums = df.select(vector_to_array(vector).alias("v")).mapInArrow(batch_sums, "wssse double")
+    return sums.agg(F.sum("wssse").alias("wssse"))
 
 
 def fit_lda(
@@ -52,25 +65,36 @@ def fit_lda(
         return LDA(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(rows)
 
 
-def topic_terms(model, vocabulary: Sequence[str], top: int = 4) -> DataFrame:
-    """``(topic, place, term, weight)`` of each topic's heaviest terms."""
-    topics = model.describeTopics(top)
-    rows = topics.select(
+def topic_terms(model, terms: DataFrame, top: int = 4) -> DataFrame:
+    """``(topic, place, term, weight)`` of each topic's heaviest terms; ``terms`` has ``pos`` and ``term``."""
+    rows = model.describeTopics(top).select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t")
     ).select("topic", "place", F.col("t.termIndices").alias("pos"), F.col("t.termWeights").alias("weight"))
-    terms = topics.sparkSession.createDataFrame(list(enumerate(vocabulary)), "pos int, term string")
     # k times top rows
     return terms.join(F.broadcast(rows), "pos").select("topic", "place", "term", "weight")
 
 
+def topic_mixture(model, df: DataFrame, row_id: str) -> DataFrame:
+    """``(id, topic, weight)``: what share of a row each topic has; the shares of a row add up to 1.
+
+    A row without any term says nothing about topics: its shares are even.
+    """
+    out, k = model.getTopicDistributionCol(), model.getOrDefault("k")
+    shares = vector_to_array(out)
+    even = F.array_repeat(F.lit(1.0 / k), k)
+    known = F.exists(shares, lambda share: share > 0)
+    mixed = model.transform(df).select(row_id, F.when(known, shares).otherwise(even).alias("shares"))
+    return mixed.select(row_id, F.posexplode("shares").alias("topic", "weight"))
+
+
 def lda_quality(model, df: DataFrame) -> DataFrame:
-    """Bounds on log likelihood and log perplexity of a corpus, in one row.
+    """Bounds on log likelihood and log perplexity of a corpus of sparse counts, in one row.
 
-    The perplexity is minus the likelihood over the number of tokens, so one pass will do.
+    The perplexity is minus the likelihood over the number of tokens, which is summed over the stored entries.
     """
-    likelihood = float(model.logLikelihood(df))
-    counts = vector_to_array(F.col(model.getFeaturesCol()))
-    tokens = df.agg(F.sum(F.aggregate(counts, F.lit(0.0), lambda a, b: a + b))).first()[0]
+    with cached(df.select(model.getFeaturesCol())) as rows:
+        likelihood = float(model.logLikelihood(rows))
+        tokens = rows.agg(F.sum(vx.sparse_sum(F.col(model.getFeaturesCol())))).first()[0]
     values = (likelihood, -likelihood / tokens)
     return df.sparkSession.createDataFrame(
         [values], "log_likelihood double, log_perplexity double"
@@ -78,10 +102,10 @@ def lda_quality(model, df: DataFrame) -> DataFrame:
 
 
 def fit_gaussian_mixture(df: DataFrame, k: int = 2, seed: int = 1, features: str = "features"):
-    """A mixture of ``k`` normal distributions.
+    """A mixture of ``k`` normal distributions over all dimensions.
 
     Needs many more rows than dimensions: a component left with too few rows
-    has no covariance and the fit does not end. Project wide vectors first.
+    has no covariance and the fit does not end.
     """
     with cached(df.select(features)) as rows:
         return GaussianMixture(k=k, seed=seed, featuresCol=features).fit(rows)

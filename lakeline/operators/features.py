@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import (
     IDF,
@@ -136,14 +137,62 @@ def tf_idf(df: DataFrame, row_id: str, tokens: str | Column, min_df: int = 1) ->
 def top_terms(
     df: DataFrame, row_id: str, tokens: str | Column, size: int | None, min_df: int = 1
 ) -> DataFrame:
-    """``(term, corpus_n)``: the ``size`` most frequent terms (None: all), ties by term."""
+    """``(term, corpus_n, df)``: the ``size`` most frequent terms (None: all), ties by term."""
     counts = (
         term_rows(df, row_id, tokens)
         .groupBy("term")
         .agg(F.sum("n").alias("corpus_n"), F.count(F.lit(1)).alias("df"))
     )
     ordered = counts.where(F.col("df") >= min_df).orderBy(F.desc("corpus_n"), "term")
-    return (ordered if size is None else ordered.limit(size)).select("term", "corpus_n")
+    return ordered if size is None else ordered.limit(size)
+
+
+@dataclass(frozen=True)
+class TermIndex:
+    """A vocabulary that stays a table: ``terms`` holds ``(pos, term, corpus_n, df)``."""
+
+    terms: DataFrame
+    size: int
+    row_id: str
+    tokens: str
+    out: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the count vector of each row; row ids are unique. A row without known terms has an empty vector.
+
+        Counts are made inside the rows and meet the terms by ``lookup_join``; the
+        entries of a row are put together by its id.
+        """
+        counted = lookup_join(
+            term_rows(df, self.row_id, self.tokens), self.terms.select("term", "pos", "df"), "term", "df", self.row_id)
+        entries = counted.groupBy(self.row_id).agg(
+            F.sort_array(F.collect_list(F.struct("pos", F.col("n").alias("value")))).alias("entries"))
+        none = F.array().cast("array<struct<pos: bigint, value: bigint>>")
+        parts = vx.sparse_parts(self.size, F.coalesce("entries", none))
+        rows = df.join(entries, self.row_id, "left").withColumn(self.out, parts).drop("entries")
+        return vx.stored_vectors(rows, self.out, "count-vectors")
+
+
+def fit_term_index(
+    df: DataFrame, row_id: str, tokens: str, out: str = "counts", min_df: int = 1
+) -> TermIndex:
+    """Number all terms that ``min_df`` rows hold, most frequent first, ties by term.
+
+    Terms are ranked by a range sort. A term's number is its place in its partition and the
+    rows of the partitions before; only one count for each partition reaches the driver.
+    """
+    ranked = stored(top_terms(df, row_id, tokens, None, min_df).withColumn(
+        "at", F.monotonically_increasing_id()), "ranked-terms")
+    part = F.shiftright("at", 33).alias("part")
+    sizes = ranked.groupBy(part).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    starts, total = [], 0
+    for row in sizes:
+        starts.append((row.part, total))
+        total += row.n
+    start = df.sparkSession.createDataFrame(starts, "part bigint, start bigint")
+    numbered = ranked.withColumn("part", part).join(F.broadcast(start), "part").select(
+        (F.col("start") + F.col("at") - F.shiftleft("part", 33)).alias("pos"), "term", "corpus_n", "df")
+    return TermIndex(numbered, total, row_id, tokens, out)
 
 
 def fit_count_vectorizer(
@@ -153,13 +202,15 @@ def fit_count_vectorizer(
     out: str = "counts",
     vocab_size: int | None = MAX_VOCABULARY,
     min_df: int = 1,
-) -> CountVectorizerModel:
+) -> CountVectorizerModel | TermIndex:
     """Count vectors over the most frequent terms.
 
     Terms of equal frequency are ordered by name, so the vocabulary is the
-    same on every run. ``vocab_size`` terms reach the driver (None: all that
-    ``min_df`` leaves), as a fitted vocabulary lives there.
+    same on every run. ``vocab_size`` terms reach the driver, as a fitted vocabulary lives
+    there. With None the vocabulary is all terms that ``min_df`` leaves and stays a table.
     """
+    if vocab_size is None:
+        return fit_term_index(df, row_id, tokens, out, min_df)
     terms = [row.term for row in top_terms(df, row_id, tokens, vocab_size, min_df).collect()]
     return count_vectorizer_of(df.sparkSession, terms, tokens, out)
 

@@ -46,3 +46,25 @@ def residuals(
 ) -> DataFrame:
     """Label minus prediction per row, next to the row's own columns."""
     return df.select(*keep, (F.col(label) - F.col(prediction)).alias("residual"))
+
+
+def deviance_residuals(
+    df: DataFrame, *keep: str, family: str = "gaussian", label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """``(keep..., residual)``: signed root of each row's share of the deviance of a generalised linear fit.
+
+    Their squares add up to the deviance. ``prediction`` is the mean, as a scored table has it.
+    """
+    y, mean = F.col(label), F.col(prediction)
+
+    def y_log_ratio(a: Column, b: Column) -> Column:
+        return F.when(a == 0, F.lit(0.0)).otherwise(a * F.log(a / b))
+
+    deviance = {
+        "gaussian": lambda: (y - mean) * (y - mean),
+        "poisson": lambda: 2 * (y_log_ratio(y, mean) - (y - mean)),
+        "binomial": lambda: 2 * (y_log_ratio(y, mean) + y_log_ratio(1 - y, 1 - mean)),
+        "gamma": lambda: 2 * ((y - mean) / mean - F.log(y / mean)),
+    }[family]()
+    # rounding may leave a share just below zero
+    return df.select(*keep, (F.signum(y - mean) * F.sqrt(F.greatest(deviance, F.lit(0.0)))).alias("residual"))

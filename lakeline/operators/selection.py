@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeline.session import cached
 
@@ -21,16 +22,31 @@ def grid(choices: dict[Param, list[Any]]) -> list[dict]:
     return builder.build()
 
 
+def with_folds(df: DataFrame, key: str, folds: int = 2, hashed: bool = True, out: str = "fold") -> DataFrame:
+    """Add the fold of each row, by key: the same on every run, machine and partitioning.
+
+    ``hashed`` spreads keys of any kind; without it a dense integer key is taken as it is. NULL keys are in fold 0.
+    """
+    slot = F.pmod(F.xxhash64(key) if hashed else F.col(key), F.lit(folds))
+    return df.withColumn(out, F.coalesce(slot, F.lit(0)).cast("int"))
+
+
 def cross_validate(
     train: DataFrame, estimator: Estimator, settings: list[dict], evaluator: Evaluator,
-    folds: int = 2, seed: int = 1, parallelism: int = 4,
+    folds: int = 2, seed: int = 1, parallelism: int = 4, fold: str | None = None,
 ):
-    """K-fold choice; the best setting is fitted again on all rows."""
+    """K-fold choice; the best setting is fitted again on all rows.
+
+    With ``fold``, a column from ``with_folds``, rows are held out by it and not at random. What is
+    the same for all settings belongs in ``train`` and not in ``estimator``: there it is worked out once, and not
+    for every setting and fold.
+    """
     with cached(train) as rows:
-        return CrossValidator(
+        search = CrossValidator(
             estimator=estimator, estimatorParamMaps=settings, evaluator=evaluator,
             numFolds=folds, seed=seed, parallelism=parallelism,
-        ).fit(rows)
+        )
+        return (search.setFoldCol(fold) if fold else search).fit(rows)
 
 
 def train_validation_split(

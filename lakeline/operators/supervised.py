@@ -55,11 +55,20 @@ def score(model: Transformer, df: DataFrame, overrides: dict[str, Any] | None =
 
 def fit_logistic_regression(
     train: DataFrame, overrides: dict[str, Any] | None = None, max_iter: int = 10,
-    reg_param: float = 0.01,
+    reg_param: float = 0.01, threshold: float | None = None,
 ):
-    """Logistic regression over any number of classes; ``threshold`` is for two."""
+    """Logistic regression over any number of classes.
+
+    ``threshold`` is the probability of class 1 above which a row is given it. It says nothing
+    about more than two classes, and is refused there.
+    """
     estimator = LogisticRegression(maxIter=max_iter, regParam=reg_param)
-    return fit_with(estimator, train, overrides)
+    if threshold is not None:
+        overrides = {"threshold": threshold, **(overrides or {})}
+    model = fit_with(estimator, train, overrides)
+    if "threshold" in (overrides or {}) and model.numClasses > 2:
+        raise ValueError(f"a threshold is for two classes, the labels have {model.numClasses}")
+    return model
 
 
 def _fit_indexed(
@@ -164,6 +173,28 @@ def fit_glm(
     return fit_with(estimator, train)
 
 
+def fit_history(df: DataFrame, model) -> DataFrame:
+    """``(iteration, objective)`` of a fitted linear or logistic model; iteration 0 is the start.
+
+    The closed-form solver makes no iterations: its history is one row.
+    """
+    rows = [(at, float(value)) for at, value in enumerate(model.summary.objectiveHistory)]
+    return df.sparkSession.createDataFrame(rows, "iteration int, objective double")
+
+
+def coefficient_table(df: DataFrame, model) -> DataFrame:
+    """``(name, value, error, t, p)`` of an unpenalised linear fit: a row for each slope, then the intercept."""
+    fit = model.summary
+    names = [f"slope{at}" for at in range(len(model.coefficients))] + ["intercept"]
+    values = [*model.coefficients, model.intercept]
+    rows = [
+        (name, float(value), float(error), float(t), float(p))
+        for name, value, error, t, p in zip(
+            names, values, fit.coefficientStandardErrors, fit.tValues, fit.pValues)
+    ]
+    return df.sparkSession.createDataFrame(rows, "name string, value double, error double, t double, p double")
+
+
 def fit_decision_tree_regressor(
     data: DataFrame, train: DataFrame, label: str = "label", features: str = "features",
     max_categories: int = 4, **params: Any,

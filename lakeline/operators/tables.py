@@ -69,6 +69,14 @@ def partition_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has, in any case of letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Random parts by weight; repeatable only while the partitioning stays the same."""
     return df.randomSplit(list(weights), seed)

@@ -268,11 +268,21 @@ def _sql_chi2(slots: str) -> str:
     )
 
 
-def _item_vectors(spark, folder, columns, *slots):
-    items = table(spark, folder, "lineitem", "l_returnflag", *columns)
+def _item_vectors(spark, folder, columns, *slots, keep=()):
+    items = table(spark, folder, "lineitem", "l_returnflag", *dict.fromkeys(columns))
     values = F.array(*[slot.cast("double") for slot in slots])
     return dealt(items).select(
-        _code("l_returnflag", CODES).alias("label"), vx.as_vector(values).alias("features")
+        *keep, _code("l_returnflag", CODES).alias("label"), vx.as_vector(values).alias("features")
+    )
+
+
+SEVENS = "l_linenumber, dayofweek(l_shipdate) + 1, CAST(l_quantity AS INTEGER) % 7"
+
+
+def _sevens(spark, folder, *keep):
+    return _item_vectors(
+        spark, folder, ["l_linenumber", "l_shipdate", "l_quantity", *keep],
+        F.col("l_linenumber"), F.dayofweek("l_shipdate"), F.col("l_quantity").cast("int") % 7, keep=keep,
     )
 
 
@@ -280,21 +290,32 @@ def _item_vectors(spark, folder, columns, *slots):
 # by p-value is the order by statistic
 @query(
     "chi2_select",
-    _sql_chi2("l_linenumber, dayofweek(l_shipdate), CAST(l_quantity AS INTEGER) % 7")
+    _sql_chi2(SEVENS)
     + "SELECT CAST(row_number() OVER (ORDER BY slot) - 1 AS INTEGER) AS place, slot "
     "FROM (SELECT slot FROM tests ORDER BY statistic DESC LIMIT 2)",
 )
 def chi2_select(spark, folder):
-    vectors = _item_vectors(
-        spark, folder, ["l_linenumber", "l_shipdate", "l_quantity"],
-        F.col("l_linenumber"), F.dayofweek("l_shipdate"), F.col("l_quantity").cast("int") % 7,
-    )
-    model = ops.fit_chi2_selector(vectors, "features", "label", top=2)
+    model = ops.fit_chi2_selector(_sevens(spark, folder), "features", "label", top=2)
     return spark.createDataFrame(
         [(at, int(slot)) for at, slot in enumerate(model.selectedFeatures)], "place int, slot int"
     )
 
 
+@query(
+    "chi2_selected_vectors",
+    _sql_chi2(SEVENS)
+    + ", kept AS (SELECT slot, row_number() OVER (ORDER BY slot) - 1 AS place "
+    "FROM (SELECT slot FROM tests ORDER BY statistic DESC LIMIT 2)), "
+    f"items AS (SELECT l_orderkey, l_linenumber AS line, [{SEVENS}] AS slots FROM lineitem) "
+    "SELECT l_orderkey, line, CAST(place AS INTEGER) AS pos, CAST(slots[slot + 1] AS DOUBLE) AS value FROM items, kept",
+)
+def chi2_selected_vectors(spark, folder):
+    rows = _sevens(spark, folder, "l_orderkey", "l_linenumber")
+    model = ops.fit_chi2_selector(rows, "features", "label", top=2)
+    kept = model.transform(rows).withColumnRenamed("l_linenumber", "line")
+    return vx.vector_rows(kept, ["l_orderkey", "line"], "selected")
+
+
 @query(
     "chi2_statistic",
     _sql_chi2("CAST(l_linenumber AS DOUBLE), round(l_discount * 100), round(l_tax * 100)")

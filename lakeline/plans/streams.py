@@ -61,7 +61,7 @@ def stream_of_files(spark, folder):
 )
 def stream_sink(spark, folder):
     events = _stream(spark, folder, "events").select("event_type", "event_id")
-    sink = _replay(spark, lambda out, state: per_batch(events, lambda b: b, out, state))
+    sink = _replay(spark, lambda out, state: per_batch(events, lambda b: b, out, state, merge=10))
     parts = read_sink(spark, sink, "event_type string, event_id bigint")
     return parts.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids")
@@ -99,3 +99,22 @@ def stream_interval_count(spark, folder):
     return counts.merged_intervals(parts, "event_type").withColumn(
         "start", F.date_format("start", "yyyy-MM-dd HH:mm:ss")
     )
+
+
+@query(
+    "stream_interval_closed",
+    "SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, n FROM ("
+    "SELECT time_bucket(INTERVAL '5 seconds', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) "
+    "WHERE start + INTERVAL '5 seconds' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'",
+)
+def stream_interval_closed(spark, folder):
+    events = _stream(spark, folder, "events").select("ts", "event_type")
+    sink = _replay(
+        spark,
+        lambda out, state: counts.closed_interval_count(
+            events, "ts", "event_type", out, state, late="1 hour", every=None
+        ),
+    )
+    return spark.read.parquet(sink).select(
+        F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n"
+    )

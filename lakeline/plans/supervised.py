@@ -1,6 +1,7 @@
 """Classification, regression, metrics and saved models."""
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.sql import functions as F
 
 from lakeline.functions import vectors as vx
@@ -33,7 +34,7 @@ def _test_error(predictions, label, prediction):
 def logistic_regression(spark, folder):
     train, test = key_split(embeddings(spark, folder), "vec_id")
     plain = ops.fit_logistic_regression(train)
-    first, later = {"maxIter": 20, "probabilityCol": "myProbability"}, {
+    first, later = {"maxIter": 20, "probabilityCol": "chance"}, {
         "maxIter": 30, "regParam": 0.1,
     }
     merged = ops.fit_logistic_regression(train, {**first, **later})
@@ -44,12 +45,29 @@ def logistic_regression(spark, folder):
             F.max(F.array_max(vx.vector_to_array(probability))).alias("top_probability"),
         ).select(F.lit(name).alias("model"), "n_test", "accuracy", "top_probability")
         for name, model, probability in (
-            ("plain", plain, "probability"), ("merged", merged, "myProbability"),
+            ("plain", plain, "probability"), ("merged", merged, "chance"),
         )
     ]
     return results[0].union(results[1])
 
 
+@query("logistic_threshold")
+def logistic_threshold(spark, folder):
+    """Good and bad documents by hashed words, at a stricter and a laxer threshold."""
+    rows = labelled_text(spark, folder)
+    words = Tokenizer(inputCol="text", outputCol="words").transform(rows)
+    hashed = HashingTF(numFeatures=1000, inputCol="words", outputCol="features").transform(words)
+    train, test = key_split(hashed.select("doc_id", "label", "features"), "doc_id")
+    found = None
+    for threshold in (0.55, 0.95):
+        scored = ops.score(ops.fit_logistic_regression(train, threshold=threshold), test)
+        row = scored.agg(
+            F.lit(threshold).alias("threshold"), F.count(F.lit(1)).alias("n_test"),
+            F.sum("prediction").cast("bigint").alias("n_good"), metrics.accuracy().alias("accuracy"))
+        found = row if found is None else found.union(row)
+    return found
+
+
 def _tree_query(fit, data, row_id="vec_id"):
     train, test = key_split(data, row_id)
     model = fit(data, train)
@@ -223,6 +241,43 @@ def glm_gaussian(spark, folder):
     )
 
 
+@query(
+    "glm_deviance_residuals",
+    SQL_OLS + "SELECT doc_id, round(y - intercept - slope * x, 3) AS residual FROM sizes, fit",
+)
+def glm_deviance_residuals(spark, folder):
+    sizes = text_sizes(spark, folder)
+    scored = ops.score(ops.fit_glm(sizes, reg_param=0.0), sizes)
+    return metrics.deviance_residuals(scored, "doc_id").withColumn("residual", rounded(F.col("residual"), 3))
+
+
+@query(
+    "glm_coefficients",
+    SQL_GLM.split("SELECT name, value FROM (")[0]
+    # the chance by Simpson's rule over the density of Student's t
+    + "SELECT name, round(value, 4) AS value, round(error, 5) AS error, round(value / error, 3) AS t, "
+    "round(greatest(1 - 2 * width / 3 * sum(weight * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) "
+    "* pow(1 + (i * width) ** 2 / dof, -(dof + 1) / 2)), 0), 9) AS p "
+    "FROM (SELECT *, least(abs(value / error), 40) / 4000 AS width FROM ("
+    "SELECT 'slope0' AS name, slope AS value, se1 AS error, n - 2 AS dof FROM g "
+    "UNION ALL SELECT 'intercept', intercept, se0, n - 2 FROM g)), "
+    "(SELECT i, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS weight "
+    "FROM range(4001) AS steps(i)) GROUP BY name, value, error, width",
+)
+def glm_coefficients(spark, folder):
+    sizes = text_sizes(spark, folder)
+    rows = ops.coefficient_table(sizes, ops.fit_glm(sizes, reg_param=0.0))
+    return rows.select(
+        "name", rounded(F.col("value"), 4).alias("value"), rounded(F.col("error"), 5).alias("error"),
+        rounded(F.col("t"), 3).alias("t"), rounded(F.col("p"), 9).alias("p"))
+
+
+@query("linear_regression_history")
+def linear_regression_history(spark, folder):
+    sizes = text_sizes(spark, folder)
+    return ops.fit_history(sizes, ops.fit_linear_regression(sizes, solver="l-bfgs"))
+
+
 SQL_RIDGE = _shrunk("r / (1 + 0.3 / sy)") + """SELECT name, value FROM (
     SELECT 'slope' AS name, round(slope, 5) AS value FROM e
     UNION ALL SELECT 'intercept', round(intercept, 3) FROM e

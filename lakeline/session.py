@@ -68,6 +68,34 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that the steps of one computation hand on, each dropped once no later step reads it."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder = spark, work_folder(spark, purpose)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` under a new name and read it back, as ``stored`` does."""
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        drop_folders(self.spark, *(f"{self.folder}/{name}" for name in names))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written below the shared root, once its results are written."""
+    drop_folders(spark, f"{shared_root(spark)}/lakeline/{spark.sparkContext.applicationId}")
+
+
+def drop_folders(spark: SparkSession, *paths: str) -> None:
+    """Delete folders wherever Spark keeps them; one that is not there is no fault."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a scan over ``spark.lakeline.scanPartitions`` partitions, if the session sets it.
 

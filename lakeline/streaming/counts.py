@@ -50,6 +50,22 @@ def per_batch_interval_count(
     )
 
 
+def closed_interval_count(
+    stream: DataFrame, ts: str, key: str, sink: str, checkpoint: str, late: str,
+    width: str = "5 seconds", every: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Counts of intervals that are over, each written once, by event time.
+
+    Intervals wait in the state store until the latest time seen, less ``late``, has passed their end. A row
+    that comes for an interval already written is dropped. Nothing is written for intervals still open, and the
+    state holds no others, so it does not grow with the stream.
+    """
+    counted = interval_count(stream, ts, key, width, late)
+    writer = counted.writeStream.outputMode("append").format("parquet").option("path", sink)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def merged_intervals(parts: DataFrame, key: str) -> DataFrame:
     """Totals per interval over the batches written so far."""
     return parts.groupBy("start", key).agg(F.sum("n").alias("n"))

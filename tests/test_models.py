@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from lakeline.functions import vectors as vx
@@ -146,10 +147,85 @@ def test_topics(spark):
     rows = [(Vectors.dense(5.0, 4.0, 0.0, 0.0),), (Vectors.dense(0.0, 0.0, 6.0, 3.0),)] * 10
     df = spark.createDataFrame(rows, ["features"])
     model = clusters.fit_lda(df, k=2, max_iter=10)
-    topics = clusters.topic_terms(model, ["a", "b", "c", "d"], 2)
+    terms = spark.createDataFrame(list(enumerate("abcd")), "pos int, term string")
+    topics = clusters.topic_terms(model, terms, 2)
     assert topics.count() == 4 and {r.term for r in topics.collect()} <= set("abcd")
     quality = clusters.lda_quality(model, df).first()
     assert quality.log_likelihood < 0 < quality.log_perplexity
-    mix = model.transform(df).select(
-        F.aggregate(vx.vector_to_array("topicDistribution"), F.lit(0.0), lambda t, v: t + v))
-    assert all(abs(r[0] - 1) < 1e-6 for r in mix.collect())
+    assert abs(quality.log_perplexity + quality.log_likelihood / 180) < 1e-9
+    rows = df.union(spark.createDataFrame([(Vectors.sparse(4, [], []),)], ["features"])).withColumn(
+        "id", F.monotonically_increasing_id())
+    shares = {}
+    for row in clusters.topic_mixture(model, rows, "id").collect():
+        shares.setdefault(row.id, []).append(row.weight)
+    assert len(shares) == 21 and all(len(s) == 2 and abs(sum(s) - 1) < 1e-9 for s in shares.values())
+    assert [0.5, 0.5] in shares.values()
+
+
+def test_cost_plan_does_not_grow_with_the_centres(spark, blobs):
+    plans = [clusters.kmeans_wssse(blobs, "features", [[float(at)] * 4 for at in range(k)])
+             ._jdf.queryExecution().optimizedPlan().toString() for k in (1, 200)]
+    assert len(plans[0]) == len(plans[1])
+
+
+def test_folds_by_key_are_the_same_under_any_partitioning(spark):
+    df = spark.range(200).select(F.when(F.col("id") < 190, F.col("id")).alias("id"), F.col("id").alias("row"))
+    folds = [sorted(map(tuple, selection.with_folds(df.repartition(n), "id", 3).select("row", "fold").collect()))
+             for n in (1, 7)]
+    assert folds[0] == folds[1] and {f for _, f in folds[0]} == {0, 1, 2}
+    assert [f for r, f in folds[0] if r >= 190] == [0] * 10
+    dense = selection.with_folds(df, "id", 3, hashed=False).where("id IS NOT NULL")
+    assert dense.where("fold <> id % 3").count() == 0
+
+
+def test_search_holds_out_the_folds_of_a_column(spark):
+    rows = [(at, float(at % 7), Vectors.dense(float(at % 5), float(at % 3)), at % 2) for at in range(60)]
+    df = spark.createDataFrame(rows, ["id", "label", "features", "fold"]).withColumn("fold", F.col("fold").cast("int"))
+    model = LinearRegression(solver="normal")
+    settings = selection.grid({model.regParam: [0.0, 1.0]})
+    chosen = selection.cross_validate(df, model, settings, RegressionEvaluator(metricName="rmse"), folds=2, fold="fold")
+    by_hand = []
+    for reg in (0.0, 1.0):
+        errors = []
+        for fold in (0, 1):
+            fitted = LinearRegression(solver="normal", regParam=reg).fit(df.where(F.col("fold") != fold))
+            errors.append(RegressionEvaluator(metricName="rmse").evaluate(fitted.transform(df.where(F.col("fold") == fold))))
+        by_hand.append(sum(errors) / 2)
+    assert all(abs(a - b) < 1e-9 for a, b in zip(chosen.avgMetrics, by_hand))
+    assert [r.params for r in selection.grid_metrics(df, chosen).collect()] == ["regParam=0.0", "regParam=1.0"]
+
+
+def test_threshold_is_for_two_classes(spark):
+    rows = [(float(at % 2), Vectors.dense(float(at % 2) + (at % 5) / 3)) for at in range(60)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    counts = [ops.score(ops.fit_logistic_regression(df, threshold=t), df).agg(F.sum("prediction")).first()[0]
+              for t in (0.05, 0.5, 0.95)]
+    assert counts[0] > counts[1] >= counts[2] and counts[0] > counts[2]
+    three = df.withColumn("label", F.when(F.rand(1) < 0.3, 2.0).otherwise(F.col("label")))
+    ops.fit_logistic_regression(three)
+    with pytest.raises(ValueError, match="two classes"):
+        ops.fit_logistic_regression(three, threshold=0.6)
+
+
+def test_fit_history_and_coefficients(spark):
+    rows = [(float(at % 11 + at), Vectors.dense(float(at), float(at % 4))) for at in range(80)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    model = ops.fit_linear_regression(df, reg_param=0.1, elastic_net=0.5, solver="l-bfgs")
+    history = [r.objective for r in ops.fit_history(df, model).orderBy("iteration").collect()]
+    assert len(history) == model.summary.totalIterations + 1 and history == sorted(history, reverse=True)
+    table = ops.coefficient_table(df, ops.fit_glm(df, reg_param=0.0)).collect()
+    assert [r.name for r in table] == ["slope0", "slope1", "intercept"]
+    assert all(abs(r.value / r.error - r.t) < 1e-9 and 0 <= r.p <= 1 for r in table)
+
+
+@pytest.mark.parametrize("family, link", [
+    ("gaussian", "identity"), ("poisson", "log"), ("binomial", "logit"), ("gamma", "inverse")])
+def test_deviance_residuals_equal_the_library(spark, family, link):
+    label = {"binomial": lambda at: float(at % 3 == 0), "gamma": lambda at: 1.0 + at % 6}.get(family, lambda at: float(at % 6))
+    df = spark.createDataFrame([(at, label(at), Vectors.dense((at % 10) / 10)) for at in range(60)], ["id", "label", "features"])
+    model = ops.fit_glm(df, family, link, reg_param=0.0, max_iter=25)
+    ours = metrics.deviance_residuals(ops.score(model, df), "id", family=family).orderBy("id")
+    theirs = model.summary.residuals("deviance").collect()
+    assert all(abs(a.residual - b[0]) < 1e-9 for a, b in zip(ours.collect(), theirs))
+    total = ours.agg(F.sum(F.col("residual") ** 2)).first()[0]
+    assert abs(total - model.summary.deviance) < 1e-6

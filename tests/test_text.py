@@ -64,14 +64,14 @@ def test_tokenizers(spark):
     )
     tokens = [r.tokens for r in ft.tokenize(df, "sentence").orderBy("id").collect()]
     assert tokens == [["hi", "i", "heard", "about", "spark"],
-                      ["logistic,regression,models,are,neat"], [""]]
+                      ["logistic,regression,models,are,neat"], []]
     cut = [r.tokens for r in ft.regex_tokenize(df, "sentence").orderBy("id").collect()]
     assert cut[1] == ["logistic", "regression", "models", "are", "neat"] and cut[2] == []
     found = ft.regex_tokenize(df, "sentence", pattern=r"\w+", gaps=False).orderBy("id").collect()
     assert found[0].tokens == tokens[0]
     name = register_token_count(spark)
     counted = ft.tokenize(df, "sentence").orderBy("id").select(F.expr(f"{name}(tokens) AS n"))
-    assert [r.n for r in counted.collect()] == [5, 1, 1]
+    assert [r.n for r in counted.collect()] == [5, 1, 0]
 
 
 def test_stop_words(spark):
@@ -123,8 +123,28 @@ def test_count_vectors(spark):
     for model in (fitted, ft.count_vectorizer_of(spark, ["a", "b", "c"], "words")):
         rows = ft.count_rows(model.transform(df), "id", "counts", model.vocabulary)
         assert {tuple(r) for r in rows.collect()} == expected
-    with pytest.raises(ValueError):
-        ft.top_terms(df, "id", "words", ft.MAX_VOCABULARY + 1)
+
+
+def test_term_index_equals_the_library(spark):
+    words = [f"w{(i * i) % 37}" for i in range(400)]
+    df = spark.createDataFrame(
+        [(i, words[i: i + i % 9]) for i in range(0, 400, 3)] + [(1000, []), (1001, None), (1002, ["unknown"])],
+        "id int, words array<string>").repartition(5)
+    index = ft.fit_count_vectorizer(df, "id", "words", vocab_size=None, min_df=2)
+    terms = [r.term for r in index.terms.orderBy("pos").collect()]
+    assert [r.pos for r in index.terms.orderBy("pos").collect()] == list(range(index.size)) and len(terms) == index.size
+    small = ft.fit_count_vectorizer(df, "id", "words", vocab_size=1000, min_df=2)
+    assert terms == small.vocabulary and "unknown" not in terms
+    theirs = {r.id: r.counts for r in small.transform(df.where("words IS NOT NULL")).collect()}
+    ours = {r.id: r.counts for r in index.transform(df).collect()}
+    assert ours.pop(1001).numNonzeros() == 0
+    assert ours == theirs and ours[1000].size == index.size
+
+
+def test_term_index_of_no_rows(spark):
+    df = spark.createDataFrame([], "id int, words array<string>")
+    index = ft.fit_count_vectorizer(df, "id", "words", vocab_size=None)
+    assert index.size == 0 and index.transform(df).count() == 0
 
 
 def test_word2vec_averages_known_words(spark):
