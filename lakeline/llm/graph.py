@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeline.operators.joins import lookup_join
-from lakeline.session import stored
+from lakeline.session import Scratch
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,28 +18,30 @@ def components(links: DataFrame) -> DataFrame:
     many links over tasks. Each round is written to the shared folder; rounds grow with the logarithm of
     the longest chain.
     """
-    links = stored(
+    scratch = Scratch(links.sparkSession, "components")
+    links = scratch.keep(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a > b").distinct(), "links",
-    )
+        .where("a > b").distinct(), "0")
+    mark, turn = _mark(links), 0
     while True:
         both = links.union(links.select(F.col("b"), F.col("a"))).toDF("a", "b")
-        large = _met(both, F.least("a", F.min("b"))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large, "links")
-        hung = _met(large, F.min("b"))
-        small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(
-            hung.select("a", F.col("m").alias("b"))).distinct()
-        small = stored(small, "links")
-        if _mark(small) == _mark(links):
+        met = _met(both, F.least("a", F.min("b")), scratch, f"{turn}-least")
+        large = scratch.keep(met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), f"{turn}-large")
+        hung = _met(large, F.min("b"), scratch, f"{turn}-hung")
+        small = scratch.keep(hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(
+            hung.select("a", F.col("m").alias("b"))).distinct(), f"{turn + 1}")
+        before, mark = mark, _mark(small)
+        scratch.drop(f"{turn}", f"{turn}-least", f"{turn}-large", f"{turn}-hung")
+        links, turn = small, turn + 1
+        if mark == before:
             break
-        links = small
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _met(links: DataFrame, least: Column) -> DataFrame:
+def _met(links: DataFrame, least: Column, scratch: Scratch, name: str) -> DataFrame:
     """``a, b, m``: each link with the least neighbour of ``a``."""
-    known = stored(links.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("uses")), "least")
+    known = scratch.keep(links.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("uses")), name)
     return lookup_join(links, known, "a", "uses", "b").select("a", "b", "m")
 
 

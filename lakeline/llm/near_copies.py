@@ -8,8 +8,8 @@ the two k-mer sequences matches at least ``SIMILARITY`` of the distinct k-mers o
 
 Documents with equal words are folded first, so a group of copies costs one row. No bucket is written
 out as pairs. First each document is aligned with the busiest member of each of its buckets. Buckets
-whose members are then in one component are closed. Of the others, those of up to ``SMALL`` members
-align the members of different components. The members of larger ones meet by their distinct k-mers
+whose members are then in one component are closed. In the others the busiest member of each component stands for it, and
+those of up to ``SMALL`` components align these with each other. Those of larger ones meet by their distinct k-mers
 in an exact join. They are ordered from rare to common: two sets of the similarity must share one among the
 first fifth, and the places of the first one shared bound what they can share. Only documents outside the
 component of their bucket's busiest member look for partners there. All this goes by a number of each text.
@@ -20,7 +20,7 @@ is a class of its own. Rows that share doc_id and words are one document.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
 from lakeline.llm.graph import components
 from lakeline.llm.words import Words, mixed, raw, slices
-from lakeline.session import stored
+from lakeline.operators.tables import unused
+from lakeline.session import Scratch, stored
 from lakeline.sources.files import table
 
 WORDS = 5
@@ -166,9 +167,8 @@ def _share(left, right):
     return pd.Series([aligned_share(_wide(a), _wide(b)) for a, b in zip(left, right)], dtype="float64")
 
 
-def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, seqs: DataFrame, similarity: float) -> DataFrame:
     """``pairs (a, b)`` with ``linked``: does the alignment reach ``similarity``?"""
-    seqs = prints.select("node", "seq")
     left = pairs.join(seqs.toDF("a", "seq_a"), "a")
     both = left.join(seqs.toDF("b", "seq_b"), "b")
     return both.select("a", "b", (_share("seq_a", "seq_b") >= similarity).alias("linked"))
@@ -191,46 +191,54 @@ def _ordered(one: str, other: str) -> list[Column]:
 
 
 def standing(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, key, degree, root, n, main`` of the members of buckets that hold several components.
+    """``key, root, node, n, main``: who stands for each component in the buckets that hold several.
 
-    ``n`` is the size of the bucket and ``main`` the root of its busiest member.
+    ``node`` is the component's busiest member there, ``n`` the components of the bucket and ``main`` the
+    root of its busiest member.
     """
     placed = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_buckets = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node", "root")).getField("root").alias("main"),
-        F.min("root").alias("low"), F.max("root").alias("high"),
-    ).where("low <> high").drop("low", "high")
-    return stored(placed.join(open_buckets, "key"), "placed")
+    standing = placed.groupBy("key", "root").agg(F.max(F.struct("degree", "node")).alias("top"))
+    open_buckets = standing.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("top", "root")).getField("root").alias("main")).where("n > 1")
+    return standing.join(open_buckets, "key").select("key", "root", F.col("top.node").alias("node"), "n", "main")
 
 
-def linked_texts(prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """``node, key, degree`` of the buckets of several texts; the degree adds up the buckets of a text."""
+    slots = keyed.select("node", F.explode("keys").alias("key"))
+    shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    degree = F.sum("n").over(Window.partitionBy("node"))
+    return slots.join(shared, "key").select("node", "key", degree.alias("degree"))
+
+
+def linked_texts(
+    keyed: DataFrame, seqs_of: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY
+) -> DataFrame:
     """``a, b`` links between different texts that hold each component together.
 
-    ``prints (node, seq, keys)`` has one row for each text; no two hash functions share a key.
+    ``keyed (node, keys)`` has one row for each text; no two hash functions share a key. ``seqs_of`` gives
+    ``node, seq`` for the nodes of a table.
     """
-    slots = prints.select("node", F.explode("keys").alias("key"))
-    shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(slots.join(shared, "key"), "members")
-    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    members = stored(members.join(degrees, "node").select("node", "key", "degree"), "members")
+    scratch = Scratch(keyed.sparkSession, "links")
+    members = scratch.keep(shared_keys(keyed), "members")
     leader = F.max(F.struct("degree", "node")).getField("node").alias("leader")
-    stars = members.groupBy("key").agg(leader)
-    pairs = members.join(stars, "key").where("node <> leader")
-    tried = stored(verified(pairs.select(*_ordered("node", "leader")).distinct(), prints, similarity), "tried")
+    pairs = members.join(members.groupBy("key").agg(leader), "key").where("node <> leader")
+    seqs = scratch.keep(seqs_of(members.select("node").distinct()), "seqs")
+    tried = scratch.keep(verified(pairs.select(*_ordered("node", "leader")).distinct(), seqs, similarity), "tried")
     links = tried.where("linked").select("a", "b")
 
-    placed = standing(members, links)
-    seqs = stored(prints.select("node", "seq").join(placed.select("node").distinct(), "node"), "open")
+    placed = scratch.keep(standing(members, links), "standing")
+    scratch.drop("members")
     few = placed.where(F.col("n") <= SMALL)
-    one = few.select("key", F.col("node").alias("one"), F.col("root").alias("root_one"))
-    other = few.select("key", F.col("node").alias("other"), F.col("root").alias("root_other"))
-    crossed = one.join(other, "key").where("one < other AND root_one <> root_other")
+    one, other = (few.select("key", F.col("node").alias(name)) for name in ("one", "other"))
+    crossed = one.join(other, "key").where("one < other")
     crowd = placed.where(F.col("n") > SMALL).groupBy("node", "root").agg(
         F.max(F.col("root") != F.col("main")).alias("seeks"))
-    met = sharing(rare_runs(crowd.join(seqs, "node"), similarity), similarity)
+    met = sharing(rare_runs(crowd.join(seqs, "node"), similarity, scratch), similarity)
     fresh = crossed.select(*_ordered("one", "other")).union(met.select(*_ordered("one", "other"))).distinct()
     fresh = fresh.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(verified(fresh, seqs, similarity), "tried")
+    more = scratch.keep(verified(fresh, seqs, similarity), "more")
+    scratch.drop("seqs", "standing", "runs", "first")
     return links.union(more.where("linked").select("a", "b"))
 
 
@@ -239,14 +247,14 @@ def _runs(seqs):
     return seqs.map(lambda seq: np.unique(shingles(_wide(seq))).view(np.int64))
 
 
-def rare_runs(texts: DataFrame, similarity: float) -> DataFrame:
+def rare_runs(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """``node, root, seeks, size, run, place, before``: of each text's distinct k-mers, rare ones first,
     those of which two texts of the similarity share at least one. ``before`` holds the last ones before.
 
     ``texts (node, root, seeks, seq)``; k-mers that no seeker has are left out.
     """
     runs = texts.select("node", "root", "seeks", _runs("seq").alias("runs"))
-    rows = stored(runs.select(
+    rows = scratch.keep(runs.select(
         "node", "root", "seeks", F.size("runs").alias("size"), F.explode("runs").alias("run")), "runs")
     often = rows.groupBy("run").agg(F.count(F.lit(1)).alias("often"), F.max("seeks").alias("sought"))
     order = Window.partitionBy("node").orderBy("often", "run")
@@ -255,7 +263,7 @@ def rare_runs(texts: DataFrame, similarity: float) -> DataFrame:
                          & (F.col("often") > 1) & F.col("sought"))
     before = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)
     first = first.withColumn("before", F.collect_list("run").over(before))
-    return stored(first.select("node", "root", "seeks", "size", "run", "place", "before"), "first")
+    return scratch.keep(first.select("node", "root", "seeks", "size", "run", "place", "before"), "first")
 
 
 def sharing(first: DataFrame, similarity: float) -> DataFrame:
@@ -289,12 +297,19 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     prints = stored(ids.mapInArrow(
         _prints, "doc_id bigint, node binary, seq binary, keys array<bigint>"), "prints")
     worded = prints.where(F.col("keys").isNotNull())
-    least = worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = stored(
-        worded.join(least, [worded["node"] == least["node"], worded["doc_id"].eqNullSafe(least["doc_id"])],
-                    "left_semi").dropDuplicates(["node"]).withColumn("number", F.monotonically_increasing_id()), "texts")
-    roots = components(linked_texts(texts.select(F.col("number").alias("node"), "seq", "keys"), similarity))
-    placed = texts.select("doc_id", "node", "number").join(
+    texts = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id")).withColumn(
+        "number", F.monotonically_increasing_id()), "texts")
+
+    def of_texts(wanted: DataFrame, column: str) -> DataFrame:
+        """``node, column`` of each text, by number; texts are told by their first row."""
+        first = worded["node"].eqNullSafe(wanted["node"]) & worded["doc_id"].eqNullSafe(wanted["doc_id"])
+        return worded.join(wanted, first).select(F.col("number").alias("node"), column).dropDuplicates(["node"])
+
+    def seqs_of(members: DataFrame) -> DataFrame:
+        return of_texts(texts.join(members.toDF("number"), "number"), "seq")
+
+    roots = components(linked_texts(of_texts(texts, "keys"), seqs_of, similarity))
+    placed = texts.join(
         roots.select(F.col("node").alias("number"), "root"), "number", "left").withColumn("root", F.coalesce("root", "number"))
     first = F.min(F.struct("doc_id", "node"))
     named = placed.groupBy("root").agg(first.alias("first")).select(
@@ -321,9 +336,10 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     found = classes(docs, similarity)
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))
+    own = [unused(docs, name) for name in ("id", "node")]
     stay = found.where(~F.col("wordless") & stays).select(
-        F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
-    marked = docs.withColumn("__node", _node("text")).withColumn("__empty", F.col("__node").isNull())
-    near = marked["doc_id"].eqNullSafe(stay["__id"]) & (marked["__node"] == stay["__node"])
-    kept = marked.where("NOT __empty").join(stay, near, "left_semi").dropDuplicates(["doc_id", "__node"])
-    return kept.union(marked.where("__empty")).select(*docs.columns)
+        F.col("doc_id").alias(own[0]), F.col("node").alias(own[1])).distinct()
+    marked = docs.withColumn(own[1], _node("text"))
+    near = marked["doc_id"].eqNullSafe(stay[own[0]]) & (marked[own[1]] == stay[own[1]])
+    kept = marked.where(F.col(own[1]).isNotNull()).join(stay, near, "left_semi").dropDuplicates(["doc_id", own[1]])
+    return kept.union(marked.where(F.col(own[1]).isNull())).select(*docs.columns)
