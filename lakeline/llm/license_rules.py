@@ -281,7 +281,7 @@ commercial | commercial licen | 0.6 | commercial licen[sc]e
 eula | end user | 0.7 | end user licen[sc]e agreement
 warranty-disclaimer | warranty | 0.4 | (?:provided )?as is without warranty of any kind(?: express or implied)?
 warranty-disclaimer | warranties | 0.4 | without warranties or conditions of any kind
-copyright-notice | copyright | 0.4 | copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*
+copyright-notice | copyright | 0.4 | copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2}(?= ))*+
 copyright-notice | copyright | 0.4 | (?:c )?copyright (?:by|c)
 generic-licence | licen | 0.3 | (?:licensed|released|distributed|made available) under (?:the )?(?:terms of )?(?:[^ ]+ ){0,3}?licen[sc]e
 generic-licence | licen | 0.3 | see (?:the )?licen[sc]e(?: file)?(?: for details| for more information)?

@@ -2,16 +2,20 @@
 
 A text is lower-cased (A-Z) and cut into words. The words are looked up among the anchor words of the
 rules; only texts that have one are matched, and only against the rules whose keyword they
-contain. Each match is a detection with its place in words. Detections are then resolved in order:
-one that lies within another goes (of equal places the later rule goes), and of two that
-overlap otherwise the later rule goes. Base phrases are reported in all their places whatever
-the rules find.
-
-Null and empty texts have no words and no detection. Columns other than the two named are ignored.
+contain. Each match is a detection with its place in words. The detections that lie within no other (of equal
+places that of the later rule lies within) are taken in the order of the rules, and each stays that overlaps none
+that stays; then the same is done with those left that overlap none. So nothing goes for one that goes itself.
+Base phrases are reported in all their places whatever the rules find.
+
+Null and empty texts have no words and no detection. A text may have any length: repeated groups in rules are
+possessive, as the regular expressions would else recurse once for each repetition. Rows that repeat an id are scanned
+as rows of their own; an empty table gives no rows. Columns other than the two named are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +58,48 @@ def _places(rule: Column) -> Column:
     return F.aggregate(matched, start, step, lambda state: state["hits"])
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once; an expression named twice would be worked out twice."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _overlap(one: Column, other: Column) -> Column:
+    return (one["first"] <= other["last"]) & (other["first"] <= one["last"])
+
+
+def _chosen(chain: Column) -> Column:
+    """What stays of detections that overlap in a chain, sorted by first place, longest first, then rule."""
+    nothing = F.expr(f"CAST(array() AS {HITS})")
+
+    def outer(hits: Column) -> Column:
+        start = F.struct(F.lit(-1).alias("reach"), nothing.alias("found"))
+        return F.aggregate(hits, start, lambda state, hit: F.when(
+            hit["last"] <= state["reach"], state).otherwise(F.struct(
+                hit["last"].alias("reach"), F.concat(state["found"], F.array(hit)).alias("found"))),
+            lambda state: state["found"])
+
+    def by_rule(hits: Column) -> Column:
+        return F.array_sort(F.transform(hits, lambda hit: F.struct(
+            hit["number"].alias("rule"), hit["first"].alias("first"), hit["last"].alias("last"), hit["number"].alias("number"))))
+
+    def layer(state: Column, _: Column) -> Column:
+        kept = F.aggregate(by_rule(outer(state["left"])), state["kept"], lambda kept, hit: F.when(
+            F.exists(kept, lambda other: _overlap(hit, other)), kept).otherwise(F.concat(kept, F.array(F.struct(
+                hit["first"].alias("first"), hit["last"].alias("last"), hit["number"].alias("number"))))))
+        return F.when(F.size(state["left"]) == 0, state).otherwise(_let(kept, lambda now: F.struct(F.filter(
+            state["left"], lambda hit: ~F.exists(now, lambda other: _overlap(hit, other))).alias("left"), now.alias("kept"))))
+
+    layers = F.aggregate(F.sequence(F.lit(1), F.size(chain)), F.struct(
+        chain.alias("left"), nothing.alias("kept")), layer, lambda state: state["kept"])
+    return F.when(F.size(chain) < 2, chain).otherwise(layers)
+
+
 def _resolved(hits: Column) -> Column:
-    """Detections that neither lie within another nor overlap one of an earlier rule."""
+    """Of the detections in no other, by rule, those that overlap none that stays; then the same with what is left.
+
+    Only what stays drives others out. Chains of overlapping detections are resolved one by one, so
+    a text's number of detections does not matter, only how many overlap.
+    """
     def order(one: Column, other: Column) -> Column:
         keys = [(one["first"], other["first"]), (other["last"], one["last"]), (one["number"], other["number"])]
         result = F.lit(0)
@@ -64,21 +108,18 @@ def _resolved(hits: Column) -> Column:
         return result
 
     nothing = F.expr(f"CAST(array() AS {HITS})")
-    ends = F.struct(F.lit(-1).alias("reach"), nothing.alias("kept"))
-
-    def outer(state: Column, hit: Column) -> Column:
-        return F.when(hit["last"] <= state["reach"], state).otherwise(F.struct(
-            hit["last"].alias("reach"), F.concat(state["kept"], F.array(hit)).alias("kept")))
-
-    def clear(kept: Column, hit: Column) -> Column:
-        before = F.try_element_at(kept, F.lit(-1))
-        apart = (F.size(kept) == 0) | (before["last"] < hit["first"])
-        better = hit["number"] < before["number"]
-        return F.when(apart, F.concat(kept, F.array(hit))).when(
-            better, F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(hit))).otherwise(kept)
-
-    outermost = F.aggregate(F.array_sort(hits, order), ends, outer, lambda state: state["kept"])
-    return F.aggregate(outermost, nothing, clear)
+    start = F.struct(F.lit(-1).alias("reach"), nothing.alias("chain"), nothing.alias("kept"))
+
+    def step(state: Column, hit: Column) -> Column:
+        return F.when(hit["first"] > state["reach"], F.struct(
+            hit["last"].alias("reach"), F.array(hit).alias("chain"),
+            F.concat(state["kept"], _chosen(state["chain"])).alias("kept"))).otherwise(F.struct(
+                F.greatest(state["reach"], hit["last"]).alias("reach"),
+                F.concat(state["chain"], F.array(hit)).alias("chain"), state["kept"].alias("kept")))
+
+    resolved = F.aggregate(F.array_sort(hits, order), start, step,
+                           lambda state: F.concat(state["kept"], _chosen(state["chain"])))
+    return F.when(F.size(hits) < 2, hits).otherwise(F.array_sort(resolved))
 
 
 def _joined(labels: Column) -> Column:

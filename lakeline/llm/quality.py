@@ -30,8 +30,9 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 MOST_RULES = 12
 MOST_CONDITIONS = 4
-LEAST_COVERED = 15
 LEAST_EXACT = 0.95
+#: Of the share that is rejected rightly: the bound that it exceeds nine times in ten (Wilson).
+LEAST_SURE, SURE = 0.8, 1.2816
 THRESHOLDS = 24
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -192,6 +193,15 @@ def _worth(conditions: list[Condition], values: dict[str, np.ndarray], bad: np.n
     return (float(bad[held].mean()) if covered else 0.0), covered
 
 
+def lower_bound(share: float, rows: int) -> float:
+    """What the true share exceeds nine times in ten, if ``share`` was seen on ``rows``."""
+    if not rows:
+        return 0.0
+    square = SURE * SURE / rows
+    spread = SURE * np.sqrt(share * (1 - share) / rows + square / (4 * rows))
+    return float((share + square / 2 - spread) / (1 + square))
+
+
 def learned(values: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
     """The decision list for rows whose order is random."""
     left, found = np.ones(len(bad), bool), []
@@ -205,7 +215,7 @@ def learned(values: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
         choices = [conditions[:size] for size in range(1, len(conditions) + 1)]
         conditions = max(choices, key=lambda rule: (_worth(rule, test, bad[left & ~grows])[0], -len(rule)))
         exact, covered = _worth(conditions, test, bad[left & ~grows])
-        if exact < LEAST_EXACT or covered < LEAST_COVERED:
+        if exact < LEAST_EXACT or lower_bound(exact, covered) < LEAST_SURE:
             break
         found.append(Rule(conditions, covered, exact))
         held = np.ones(len(bad), bool)
@@ -241,7 +251,9 @@ def verdict(rules: list[Rule]) -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that neither the limits nor the learned rules reject."""
     rules = decision_list(docs, labels)
-    return with_measures(docs).where(verdict(rules)).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])  # whatever the columns are called
+    whole = with_measures(docs.select(row.alias("row"), "text"))
+    return whole.where(verdict(rules)).select("row.*")
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
-          "node string, bucket int, found string, __measures string, kept string")
+          "node string, bucket int, found string, __measures string, kept string, __node string, id int, row int")
 
 
 def prose(seed, words, vocabulary=900):
@@ -14,7 +14,7 @@ def prose(seed, words, vocabulary=900):
 
 def rows_of(*texts):
     """Document rows with extra columns whose names clash with those used inside."""
-    return [(number, text, "en", "s", len(text or ""), "n", 1, "f", "m", "k") for number, text in enumerate(texts)]
+    return [(number, text, "en", "s", len(text or ""), "n", 1, "f", "m", "k", "o", 7, 8) for number, text in enumerate(texts)]
 
 
 @pytest.fixture(scope="session")
@@ -23,9 +23,9 @@ def edge(spark):
     base = prose(1, 120)
     texts = [None, "", " \t\n ", base, base, "short text", prose(2, 30_000), "x" * 50_000, base + " end", "é😀   ß"]
     rows = rows_of(*texts)
-    rows += [rows[3], (None, base, None, None, None, None, None, None, None, None), rows[0],
-             (3, prose(3, 60), None, "s", 1, "n", 1, "f", "m", "k"),
-             (None, None, None, None, None, None, None, None, None, None)]
+    rows += [rows[3], (None, base, *[None] * 11), rows[0],
+             (3, prose(3, 60), None, "s", 1, "n", 1, "f", "m", "k", "o", 7, 8),
+             tuple([None] * 13)]
     return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
 
 

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeline.llm import bpe, licenses, personal, quality, repeats, warc, wavelet
@@ -69,6 +70,42 @@ def test_license_rules_resolve(spark):
     assert row.score == pytest.approx(1 - 0.25)
 
 
+def resolved_by_hand(hits):
+    """Layer by layer, over all hits."""
+    within = lambda h, o: o[0] <= h[0] and h[1] <= o[1] and (o[:2] != h[:2] or o[2] < h[2])
+    overlap = lambda h, o: h[0] <= o[1] and o[0] <= h[1]
+    left, kept = sorted(set(hits)), []
+    while left:
+        for hit in sorted((h for h in left if not any(within(h, o) for o in left)), key=lambda h: (h[2], h[0], h[1])):
+            if not any(overlap(hit, other) for other in kept):
+                kept.append(hit)
+        left = [h for h in left if not any(overlap(h, other) for other in kept)]
+    return sorted(kept)
+
+
+def test_license_detections_lose_only_to_what_stays(spark):
+    cases = [[(0, 2, 5), (2, 5, 4), (5, 7, 3)], [(1, 2, 9), (0, 4, 8), (4, 6, 1)], [], [(3, 3, 1)], [(0, 1, 2), (0, 1, 2)]]
+    pick = random.Random(4)
+    for _ in range(300):
+        starts = [pick.randrange(20) for _ in range(pick.randrange(12))]
+        cases.append(sorted({(at, at + pick.randrange(6), pick.randrange(9)) for at in starts}))
+    hits = [[dict(zip(("first", "last", "number"), hit)) for hit in case] for case in cases]
+    frame = spark.createDataFrame(list(enumerate(hits)), f"id int, hits {licenses.HITS}")
+    rows = frame.select("id", licenses._resolved(F.col("hits")).alias("kept")).orderBy("id").collect()
+    assert [tuple(h) for h in rows[0].kept] == [(0, 2, 5), (5, 7, 3)]
+    assert [tuple(h) for h in rows[1].kept] == [(1, 2, 9), (4, 6, 1)]
+    for case, row in zip(cases, rows):
+        assert [tuple(h) for h in row.kept] == resolved_by_hand(case)
+
+
+def test_license_of_very_long_texts(spark):
+    years = "copyright " + " ".join(str(1950 + n % 70) for n in range(100_000))
+    many = "copyright 2019 20211 x mit license " * 3000
+    rows = licenses.scan(spark.createDataFrame([(1, years), (2, many)], "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert rows[0].labels == "copyright-notice" and tuple(rows[0].detections[0])[:2] == (0, 100_000)
+    assert len(rows[1].detections) == 6000 and tuple(rows[1].detections[0])[:2] == (0, 1)
+
+
 def test_license_empty(empty):
     assert licenses.scan(empty).count() == 0
 
@@ -208,12 +245,24 @@ def test_quality_rules_learn():
     assert quality.learned(values, np.zeros(3000, bool)) == []
 
 
+def test_quality_rules_learn_from_few_bad_rows():
+    pick = np.random.default_rng(6)
+    values = {name: pick.random(400) for name in quality.SHARES}
+    bad = values["symbols"] > 0.93  # 28 rows, so about nine in the part that prunes
+    rules = quality.learned(values, bad)
+    assert 20 <= bad.sum() <= 36 and [rule.conditions[0].share for rule in rules] == ["symbols"]
+    mixed = pick.random(400) < 0.07
+    assert quality.learned(values, mixed) == []
+    assert quality.lower_bound(1.0, 7) > 0.8 > quality.lower_bound(1.0, 6) and quality.lower_bound(0.9, 0) == 0
+
+
 def test_quality_keeps_columns(edge, empty, spark):
     labels = spark.createDataFrame([(3, 1), (3, 0), (None, 1), (5, None)], "doc_id bigint, quality int")
     kept = quality.keep_good(edge, labels)
     assert kept.columns == edge.columns
     assert collections.Counter(row.text for row in kept.collect()) == collections.Counter(
         row.text for row in edge.collect() if not quality_row(row.text)[-1])
+    assert not collections.Counter(map(tuple, kept.collect())) - collections.Counter(map(tuple, edge.collect()))
     assert quality.keep_good(empty, labels).count() == quality.keep_good(edge, labels.limit(0)).count() - kept.count() == 0
 
 

@@ -96,6 +96,7 @@ def test_near_copies_edges(edge, empty):
     assert len(rows) == edge.count() and near_copies.classes(empty).count() == 0
     assert {row.class_id for row in rows if row.wordless} == {0, 1, 2, None}
     kept = near_copies.keep_one(edge)
+    assert {tuple(row) for row in kept.collect()} <= {tuple(row) for row in edge.collect()}
     assert kept.columns == edge.columns and near_copies.keep_one(empty).count() == 0
     worded = [row.text for row in kept.collect() if (row.text or "").strip()]
     assert len(worded) == len(set(worded)) == 6  # of the base text, its copies and its near copy one is left
