@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-BROADCAST_KEY_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20
 FAN = 64
 
 
@@ -20,17 +20,18 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join of ``rows`` with a unique-key ``lookup`` that counts each key's ``uses``.
 
-    A lookup of at most ``broadcast_rows`` rows, with keys of at most 64 MB
-    together, is broadcast: both are counted first. Beyond that both sides are shuffled; a key used by more
+    A lookup of at most ``broadcast_rows`` rows, of at most 64 MB with all its columns,
+    is broadcast: both are counted first. Beyond that both sides are shuffled; a key used by more
     than 1/64 of all rows (there are at most 64 of those, and only they are
     broadcast) is cut over up to 64 partitions by ``spread_by``. ``lookup``
     should be stored, as it is read more than once.
     """
-    key_bytes = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) for name in lookup.columns), F.lit(0))
+    total_bytes = F.coalesce(F.sum(width), F.lit(0))
     size = lookup.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(uses).alias("uses"), key_bytes.alias("bytes")
+        F.count(F.lit(1)).alias("n"), F.sum(uses).alias("uses"), total_bytes.alias("bytes")
     ).first()
-    if size["n"] <= broadcast_rows and size["bytes"] <= BROADCAST_KEY_BYTES:
+    if size["n"] <= broadcast_rows and size["bytes"] <= BROADCAST_BYTES:
         return rows.join(F.broadcast(lookup), key)
     share = F.col(uses) * FAN / size["uses"]
     hot = lookup.where(share > 1).select(key, F.ceil(share).cast("int").alias("__cuts"))

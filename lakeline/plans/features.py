@@ -336,6 +336,19 @@ def pca_project(spark, folder):
     return vx.vector_rows(ops.fit_pca(df, "features", 3).transform(df), ["vec_id"], "projected")
 
 
+@query(
+    "pca_norms",
+    f"WITH {SQL_VECTORS} SELECT vec_id, round(sum(value * value), 6) AS square FROM vectors GROUP BY vec_id",
+)
+def pca_norms(spark, folder):
+    """With as many components as dimensions the projection is a rotation and keeps lengths."""
+    df = embeddings(spark, folder)
+    width = len(df.select("features").first()[0])
+    projected = ops.fit_pca(df, "features", width).transform(df)
+    square = F.aggregate(vx.vector_to_array("projected"), F.lit(0.0), lambda total, x: total + x * x)
+    return projected.select("vec_id", rounded(square).alias("square"))
+
+
 @query(
     "string_index",
     "SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS DOUBLE) "

@@ -68,6 +68,19 @@ def logistic_threshold(spark, folder):
     return found
 
 
+@query(
+    "logistic_class_shares",
+    "SELECT CAST(label AS INTEGER) AS label, "
+    "round(count(*) / CAST((SELECT count(*) FROM embeddings) AS DOUBLE), 4) AS share FROM embeddings GROUP BY label",
+)
+def logistic_class_shares(spark, folder):
+    """A fit with intercepts gives each class, on average over its own rows, the share it has."""
+    df = embeddings(spark, folder)
+    model = ops.fit_logistic_regression(df, {"tol": 1e-9}, max_iter=200)
+    chances = ops.score(model, df).select(F.posexplode(vx.vector_to_array("probability")).alias("label", "chance"))
+    return chances.groupBy("label").agg(rounded(F.avg("chance"), 4).alias("share"))
+
+
 def _tree_query(fit, data, row_id="vec_id"):
     train, test = key_split(data, row_id)
     model = fit(data, train)
@@ -308,6 +321,21 @@ def _regression_query(fit, data):
     )
 
 
+@query(
+    "decision_tree_two_means",
+    "SELECT CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS flag, "
+    "round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY 1",
+)
+def decision_tree_two_means(spark, folder):
+    """A tree over one column of two values predicts the mean of either side."""
+    flag = (F.col("l_returnflag") == "R").cast("double")
+    rows = dealt(table(spark, folder, "lineitem", "l_returnflag", "l_quantity")).select(
+        F.col("l_quantity").cast("double").alias("label"), flag.alias("flag"),
+        vx.as_vector(F.array(flag)).alias("features"))
+    model = ops.fit_decision_tree_regressor(rows, rows, maxDepth=1)
+    return ops.score(model, rows).groupBy("flag").agg(rounded(F.max("prediction")).alias("mean"))
+
+
 @query("decision_tree_regressor")
 def decision_tree_regressor(spark, folder):
     with cached(text_sizes(spark, folder)) as data:

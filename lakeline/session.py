@@ -38,9 +38,9 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
+    if root:
+        return root.rstrip("/") if context.master.startswith("local") else qualified(spark, root.rstrip("/"))
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
@@ -51,6 +51,15 @@ def shared_root(spark: SparkSession) -> str:
     return _own_roots[app]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark reads it by, which for a bare path is the cluster's default.
+
+    Tasks that write files of their own would else take a bare path for their machine's disk.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unique path below the shared root; nothing is created yet."""
     app = spark.sparkContext.applicationId

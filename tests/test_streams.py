@@ -171,3 +171,21 @@ def test_late_rows_of_closed_intervals_are_dropped(spark, tmp_path):
     found = sorted((int(r.start.timestamp()), r.n) for r in spark.read.parquet(sink).collect())
     # 2 comes with the batch that closes 0..5 and still counts, 4 after that; 60 stays open
     assert found == [(0, 3), (20, 3), (40, 1)]
+
+
+def test_bare_paths_get_the_default_scheme(spark, tmp_path):
+    assert session.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert session.qualified(spark, f"file://{tmp_path}/x").startswith("file:/")
+
+
+def test_scratch_is_gone_when_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path))
+    frame = session.stored(spark.range(5), "numbers")
+    scratch = session.Scratch(spark, "steps")
+    scratch.keep(frame, "one")
+    kept = scratch.keep(frame, "two")
+    scratch.drop("one", "never")
+    folder = f"{session.shared_root(spark)}/lakeline/{spark.sparkContext.applicationId}"
+    assert os.listdir(scratch.folder) == ["two"] and kept.count() == frame.count() == 5
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder)
