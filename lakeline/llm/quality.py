@@ -251,9 +251,10 @@ def verdict(rules: list[Rule]) -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that neither the limits nor the learned rules reject."""
     rules = decision_list(docs, labels)
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])  # whatever the columns are called
-    whole = with_measures(docs.select(row.alias("row"), "text"))
-    return whole.where(verdict(rules)).select("row.*")
+    own = {name: "text" if name == "text" else f"column{at}" for at, name in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{name}`").alias(new) for name, new in own.items()])  # whatever they are called
+    kept = with_measures(renamed).where(verdict(rules))
+    return kept.select(*[F.col(new).alias(name) for name, new in own.items()])
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
