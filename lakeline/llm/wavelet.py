@@ -55,7 +55,8 @@ class WaveletMatrix:
         for bit in range(max(1, high.bit_length()) - 1, -1, -1):
             ones = values & values.dtype.type(1 << bit) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            values = np.concatenate((values[~ones], values[ones]))
+            # by places: several times faster than by a mask
+            values = np.concatenate((values.take(np.flatnonzero(~ones)), values.take(np.flatnonzero(ones))))
             zeros.append(len(ones) - int(np.count_nonzero(ones)))
         return cls(len(ids), planes, zeros)
 
@@ -68,8 +69,8 @@ class WaveletMatrix:
         for plane in range(len(self.planes) - 1, -1, -1):
             ones, split = self._bits(plane), self.zeros[plane]
             above = np.empty_like(values)
-            above[~ones] = values[:split]
-            above[ones] = values[split:] | values.dtype.type(1 << (len(self.planes) - 1 - plane))
+            above[np.flatnonzero(~ones)] = values[:split]
+            above[np.flatnonzero(ones)] = values[split:] | values.dtype.type(1 << (len(self.planes) - 1 - plane))
             values = above
         return values
 
