@@ -9,7 +9,7 @@ from lakeline.functions import vectors as vx
 
 def users(spark):
     return rows.rows_to_table(
-        spark, [(1, "zhangs", 20), (2, "lis", 30), (3, "wangw", 40)], "id int, name string, age int", 2
+        spark, [(1, "harbour", 11), (2, "elm", 52), (3, "slate", 33)], "id int, name string, age int", 2
     )
 
 
@@ -29,7 +29,7 @@ def test_conform_schema(spark):
 
 def test_row_map(spark):
     named = ops.row_map(users(spark).select("name"), lambda b: b.assign(n=b.name.str.len()), "name string, n int")
-    assert {tuple(r) for r in named.collect()} == {("zhangs", 6), ("lis", 3), ("wangw", 5)}
+    assert {tuple(r) for r in named.collect()} == {("harbour", 7), ("elm", 3), ("slate", 5)}
 
 
 def test_splits(spark):
