@@ -212,6 +212,9 @@ def vocabulary(path: str) -> Vocabulary:
     return built[path]
 
 
+#: What a task remembers of its words; a worker keeps the memory after the task.
+MEMO_ENTRIES = 400_000
+
 _CODED = pa.schema([
     ("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string()),
 ])
@@ -228,7 +231,7 @@ def _shown(ids: list[int]) -> str:
 def _coded(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        coder = Coder(None, known.special, known.special_id, known.encode, _shown, known.spell)
+        coder = Coder(None, known.special, known.special_id, known.encode, _shown, known.spell, entries=MEMO_ENTRIES)
         shown, spelled = (view.__getitem__ for view in coder.known)
         for batch in batches:
             for part in slices(batch, "text"):

@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 KEPT = 5
 SKETCHES = 24
 SMALL = 64
+#: Text hashed at a time; the arrays are a few dozen times as large.
+BLOCK_BYTES = 1 << 18
 BEFORE = 16
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,7 +142,7 @@ _PRINTS = pa.schema([
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", BLOCK_BYTES):
             texts = Words(raw(part.column("text")), seeds=2)
             whole = np.stack([texts.whole(0), texts.whole(1)], 1)
             rows: list[list] = [[], [], [], []]

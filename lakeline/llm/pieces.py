@@ -38,20 +38,22 @@ class Coder:
 
     ``encode`` gives the ids of each of a list of words, and a view turns the ids of one word into
     text or bytes; that of a whole text is that of its words one after the other. The special token's
-    string is one word. The memo of a ``name`` outlives the task. It starts again beyond ``MEMO_ENTRIES`` words, counted in each view.
+    string is one word. The memo of a ``name`` outlives the task. It starts again beyond ``entries`` words, counted in each view.
     """
 
     def __init__(self, name: str | None, special: str, special_id: int,
-                 encode: Callable[[list[str]], list[list[int]]], *views: Callable[[list[int]], str | bytes]):
+                 encode: Callable[[list[str]], list[list[int]]], *views: Callable[[list[int]], str | bytes],
+                 entries: int = MEMO_ENTRIES):
         self.known = [worker_memo(f"{name} {number}") if name else {} for number in range(len(views))]
         self.special, self.special_id, self.encode, self.views = special, special_id, encode, views
+        self.entries = entries
 
     def words(self, texts: list[str]) -> list[list[str]]:
         """The words of each text, all of them known to every view."""
         cut = [self._cut(text) for text in texts]
         first = self.known[0]
         fresh = {word for words in cut for word in words if word not in first}
-        if (len(first) + len(fresh)) * len(self.known) > MEMO_ENTRIES:
+        if (len(first) + len(fresh)) * len(self.known) > self.entries:
             for known in self.known:
                 known.clear()
             fresh = {word for words in cut for word in words}

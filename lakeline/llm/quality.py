@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeline.llm.words import BLOCK_BYTES, Words, mixed
+from lakeline.llm.words import Words, mixed
 from lakeline.sources.files import table
 
 LABELLED = 20_000
@@ -34,6 +34,8 @@ LEAST_EXACT = 0.95
 #: Of the share that is rejected rightly: the bound that it exceeds nine times in ten (Wilson).
 LEAST_SURE, SURE = 0.8, 1.2816
 THRESHOLDS = 24
+#: Texts measured at a time; the arrays are a few dozen times as large.
+BLOCK_CHARS = 1 << 18
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -128,7 +130,7 @@ def measures(texts: pd.Series) -> pd.DataFrame:
     for text in texts:
         block.append(text or "")
         size += len(block[-1])
-        if size >= BLOCK_BYTES:
+        if size >= BLOCK_CHARS:
             parts.append(pd.DataFrame(measured(block)))
             block, size = [], 0
     if block:
