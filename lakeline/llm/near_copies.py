@@ -9,10 +9,12 @@ the two k-mer sequences matches at least ``SIMILARITY`` of the distinct k-mers o
 Documents with equal words are folded first, so a group of copies costs one row. No bucket is written
 out as pairs. First each document is aligned with the busiest member of each of its buckets. Buckets
 whose members are then in one component are closed. In the others the busiest member of each component stands for it, and
-those of up to ``SMALL`` components align these with each other. Those of larger ones meet by their distinct k-mers
-in an exact join. They are ordered from rare to common: two sets of the similarity must share one among the
-first fifth, and the places of the first one shared bound what they can share. Only documents outside the
-component of their bucket's busiest member look for partners there. All this goes by a number of each text.
+those of up to ``SMALL`` components align these with each other.
+
+Sketches miss some pairs, so an exact join by distinct k-mers follows, over all texts. Each text's k-mers have
+one order, by hash, but those of more than ``COMMON`` texts come last. Two sets of the similarity must share k-mers
+among the first fifth, and their number bounds what they can share in all. Only texts in different
+components meet, and the pairs that may reach the similarity are aligned too: no link between components is lost.
 
 Text of fewer than five words is one k-mer. A document without any word (null, empty, white space)
 is a class of its own. Rows that share doc_id and words are one document.
@@ -21,15 +23,17 @@ is a class of its own. Rows that share doc_id and words are one document.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
+from pyspark.sql.types import BinaryType
 
 from lakeline.llm.graph import components
 from lakeline.llm.words import Words, mixed, raw, slices
+from lakeline.operators.joins import lookup_join
 from lakeline.operators.tables import unused
 from lakeline.session import Scratch, stored
 from lakeline.sources.files import table
@@ -41,7 +45,8 @@ SKETCHES = 24
 SMALL = 64
 #: Text hashed at a time; the arrays are a few dozen times as large.
 BLOCK_BYTES = 1 << 18
-BEFORE = 16
+#: A k-mer among the first of more texts than this comes last in the order.
+COMMON = 32
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -162,18 +167,27 @@ def _wide(seq: bytes) -> np.ndarray:
     return mixed(parts[:, 0] | parts[:, 1] << np.uint64(8) | parts[:, 2] << np.uint64(16))
 
 
-@F.pandas_udf(DoubleType())
-def _share(left, right):
-    import pandas as pd
+_LINKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
+
+
+def _aligned(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # read in place: a batch of pairs holds two texts a row
+            linked = [aligned_share(_wide(a.as_buffer()), _wide(b.as_buffer()), similarity) >= similarity
+                      for a, b in zip(batch.column("seq_a"), batch.column("seq_b"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], schema=_LINKED)
 
-    return pd.Series([aligned_share(_wide(a), _wide(b)) for a, b in zip(left, right)], dtype="float64")
+    return run
 
 
 def verified(pairs: DataFrame, seqs: DataFrame, similarity: float) -> DataFrame:
     """``pairs (a, b)`` with ``linked``: does the alignment reach ``similarity``?"""
     left = pairs.join(seqs.toDF("a", "seq_a"), "a")
     both = left.join(seqs.toDF("b", "seq_b"), "b")
-    return both.select("a", "b", (_share("seq_a", "seq_b") >= similarity).alias("linked"))
+    return both.select("a", "b", "seq_a", "seq_b").mapInArrow(
+        _aligned(similarity), "a bigint, b bigint, linked boolean")
 
 
 @F.pandas_udf(BinaryType())
@@ -193,16 +207,14 @@ def _ordered(one: str, other: str) -> list[Column]:
 
 
 def standing(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``key, root, node, n, main``: who stands for each component in the buckets that hold several.
+    """``key, root, node, n``: who stands for each component in the buckets that hold several.
 
-    ``node`` is the component's busiest member there, ``n`` the components of the bucket and ``main`` the
-    root of its busiest member.
+    ``node`` is the component's busiest member there and ``n`` the components of the bucket.
     """
     placed = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     standing = placed.groupBy("key", "root").agg(F.max(F.struct("degree", "node")).alias("top"))
-    open_buckets = standing.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("top", "root")).getField("root").alias("main")).where("n > 1")
-    return standing.join(open_buckets, "key").select("key", "root", F.col("top.node").alias("node"), "n", "main")
+    open_buckets = standing.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return standing.join(open_buckets, "key").select("key", "root", F.col("top.node").alias("node"), "n")
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
@@ -214,79 +226,136 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
 
 
 def linked_texts(
-    keyed: DataFrame, seqs_of: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY
+    keyed: DataFrame, seqs_of: Callable[[DataFrame], DataFrame], seqs: DataFrame, nodes: DataFrame,
+    similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``a, b`` links between different texts that hold each component together.
 
     ``keyed (node, keys)`` has one row for each text; no two hash functions share a key. ``seqs_of`` gives
-    ``node, seq`` for the nodes of a table.
+    ``node, seq`` for the nodes of a table. ``seqs (mark, seq)`` holds all texts, copies too, and ``nodes (mark, node)``
+    one row for each text: the exact join goes by marks, so that no text is shuffled for it.
     """
     scratch = Scratch(keyed.sparkSession, "links")
     members = scratch.keep(shared_keys(keyed), "members")
     leader = F.max(F.struct("degree", "node")).getField("node").alias("leader")
     pairs = members.join(members.groupBy("key").agg(leader), "key").where("node <> leader")
-    seqs = scratch.keep(seqs_of(members.select("node").distinct()), "seqs")
-    tried = scratch.keep(verified(pairs.select(*_ordered("node", "leader")).distinct(), seqs, similarity), "tried")
+    own = scratch.keep(seqs_of(members.select("node").distinct()), "seqs")
+    tried = scratch.keep(verified(pairs.select(*_ordered("node", "leader")).distinct(), own, similarity), "tried")
     links = tried.where("linked").select("a", "b")
 
-    placed = scratch.keep(standing(members, links), "standing")
-    scratch.drop("members")
-    few = placed.where(F.col("n") <= SMALL)
+    few = scratch.keep(standing(members, links).where(F.col("n") <= SMALL), "standing")
     one, other = (few.select("key", F.col("node").alias(name)) for name in ("one", "other"))
-    crossed = one.join(other, "key").where("one < other")
-    crowd = placed.where(F.col("n") > SMALL).groupBy("node", "root").agg(
-        F.max(F.col("root") != F.col("main")).alias("seeks"))
-    met = sharing(rare_runs(crowd.join(seqs, "node"), similarity, scratch), similarity)
-    fresh = crossed.select(*_ordered("one", "other")).union(met.select(*_ordered("one", "other"))).distinct()
-    fresh = fresh.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = scratch.keep(verified(fresh, seqs, similarity), "more")
-    scratch.drop("seqs", "standing", "runs", "first")
-    return links.union(more.where("linked").select("a", "b"))
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def _runs(seqs):
-    return seqs.map(lambda seq: np.unique(shingles(_wide(seq))).view(np.int64))
+    crossed = one.join(other, "key").where("one < other").select(*_ordered("one", "other")).distinct()
+    fresh = crossed.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    more = scratch.keep(verified(fresh, own, similarity), "more")
+    scratch.drop("members", "seqs", "standing")
+
+    tried, links = tried.union(more), links.union(more.where("linked").select("a", "b"))
+    placed = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = rare_runs(seqs, scratch.keep(placed, "placed"), similarity, scratch)
+    met = sharing(first, similarity).select(*_ordered("one", "other")).distinct()
+    rest = scratch.keep(met.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    wanted = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
+    last = scratch.keep(verified(rest, scratch.keep(seqs_of(wanted), "wanted"), similarity), "last")
+    scratch.drop("placed", "first", "rest", "wanted")
+    return links.union(last.where("linked").select("a", "b"))
+
+
+_RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32()), ("fresh", pa.bool_())])
+
+
+def first_runs(runs: np.ndarray, similarity: float, common: np.ndarray | None = None) -> np.ndarray:
+    """Of a text's distinct k-mers, sorted, those of which two texts of the similarity share at least one."""
+    if common is not None:
+        late = np.isin(runs, common)
+        runs = np.concatenate((runs[~late], runs[late]))
+    return runs[:len(runs) - ceil(len(runs) * similarity - 1e-9) + 1]
+
+
+def _first_runs(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "seq", BLOCK_BYTES):
+                common = part.column("common").to_pylist() if "common" in part.schema.names else [None] * len(part)
+                marks, found, fresh, sizes = part.column("mark").to_numpy(), [], [], []
+                for seq, late in zip(part.column("seq"), common):
+                    runs = np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64)
+                    found.append(first_runs(runs, similarity, late))
+                    fresh.append(np.isin(found[-1], first_runs(runs, similarity), invert=True) if late
+                                 else np.zeros(len(found[-1]), bool))
+                    sizes.append(len(runs))
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(marks, counts)), pa.array(np.concatenate(found)),
+                    pa.array(np.repeat(sizes, counts), pa.int32()), pa.array(np.concatenate(fresh))], schema=_RUNS)
+
+    return run
+
+
+def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "seq", BLOCK_BYTES >> 2):
+            found = [np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64) for seq in part.column("seq")]
+            marks = np.repeat(part.column("mark").to_numpy(), [len(runs) for runs in found])
+            yield pa.RecordBatch.from_pydict({"mark": pa.array(marks), "run": pa.array(np.concatenate(found))})
 
 
-def rare_runs(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """``node, root, seeks, size, run, place, before``: of each text's distinct k-mers, rare ones first,
-    those of which two texts of the similarity share at least one. ``before`` holds the last ones before.
+def rare_runs(seqs: DataFrame, placed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """``run, node, root, size, main``: the first k-mers of each text that texts of several roots have among theirs.
 
-    ``texts (node, root, seeks, seq)``; k-mers that no seeker has are left out.
+    ``seqs (mark, seq)``, ``placed (mark, node, root)``; ``main`` is the root of most of a k-mer's texts. The order of
+    k-mers is the same for all texts, which makes the join exact: by hash, but ``COMMON`` ones last.
     """
-    runs = texts.select("node", "root", "seeks", _runs("seq").alias("runs"))
-    rows = scratch.keep(runs.select(
-        "node", "root", "seeks", F.size("runs").alias("size"), F.explode("runs").alias("run")), "runs")
-    often = rows.groupBy("run").agg(F.count(F.lit(1)).alias("often"), F.max("seeks").alias("sought"))
-    order = Window.partitionBy("node").orderBy("often", "run")
-    ranked = rows.join(often, "run").withColumn("place", F.row_number().over(order) - 1)
-    first = ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
-                         & (F.col("often") > 1) & F.col("sought"))
-    before = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)
-    first = first.withColumn("before", F.collect_list("run").over(before))
-    return scratch.keep(first.select("node", "root", "seeks", "size", "run", "place", "before"), "first")
+    kind = "mark bigint, run bigint, size int, fresh boolean"
+    rows = seqs.select("mark", "seq").mapInArrow(_first_runs(similarity), kind).drop("fresh")
+    shared = scratch.keep(_shared(rows), "shared")
+    common = scratch.keep(shared.where(F.col("often") > COMMON).groupBy("run").agg(
+        F.first("often").alias("often")), "common")
+    # texts with a common k-mer among the first get others; the rest keep theirs
+    held = scratch.keep(shared.where(F.col("often") > COMMON).select("mark").distinct(), "held")
+    late = lookup_join(seqs.join(held, "mark", "left_semi").mapInArrow(_all_runs, "mark bigint, run bigint"),
+                       common, "run", "often", "mark")
+    late = scratch.keep(late.groupBy("mark").agg(F.collect_set("run").alias("common")), "late")
+    moved = scratch.keep(seqs.join(late, "mark").select("mark", "seq", "common").mapInArrow(
+        _first_runs(similarity), kind).distinct(), "moved")
+    # a k-mer that a text gets may be one that another has had alone
+    gained = scratch.keep(moved.where("fresh").select("run").distinct(), "gained")
+    others = rows.join(gained, "run", "left_semi").union(shared.select("mark", "run", "size"))
+    kept = _shared(others.join(held, "mark", "left_anti").union(moved.drop("fresh")))
+    kept = scratch.keep(kept.join(placed, "mark").select("run", "node", "root", "size"), "kept")
+    roots = kept.groupBy("run", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed_runs = roots.groupBy("run").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("n", "root")).getField("root").alias("main")).where("n > 1")
+    first = scratch.keep(kept.join(mixed_runs.select("run", "main"), "run"), "first")
+    scratch.drop("shared", "common", "held", "late", "moved", "gained", "kept")
+    return first
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The different ``rows (mark, run, size)`` whose run several marks have, with ``often``, their number."""
+    by_run = rows.repartition("run").dropDuplicates(["run", "mark"])
+    return by_run.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("often > 1")
 
 
 def sharing(first: DataFrame, similarity: float) -> DataFrame:
-    """``one, other``: all pairs whose sets of k-mers can reach the similarity, in different roots.
+    """``one, other``: all pairs in different roots whose sets of k-mers can reach the similarity.
 
-    ``first`` is that of ``rare_runs``; at least one of a pair seeks. A pair is due at the first k-mer it
-    shares, so it is passed over at one that follows another of the last ``BEFORE``.
+    ``first`` is that of ``rare_runs``. Of a pair, the text whose first k-mers end earlier in the order has all it shares up to
+    there among the first of both, so it shares these and at most those that come after.
+    At each k-mer texts outside the main root meet all others, so that pairs within that root are never made.
     """
-    one = first.where("seeks").select(
-        "run", F.col("node").alias("one"), F.col("root").alias("root_one"),
-        F.col("size").alias("size_one"), F.col("place").alias("place_one"),
-        F.col("before").alias("before_one"))
-    other = first.select(
-        "run", F.col("node").alias("other"), F.col("root").alias("root_other"), F.col("seeks").alias("seeks_other"),
-        F.col("size").alias("size_other"), F.col("place").alias("place_other"),
-        F.col("before").alias("before_other"))
-    most = F.least(F.col("size_one") - F.col("place_one"), F.col("size_other") - F.col("place_other"))
-    least = (F.col("size_one") + F.col("size_other")) * similarity / (1 + similarity) - 1e-9
+    one, other = (first.select(
+        "run", F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("size").alias(f"size_{name}"),
+        (F.col("root") != F.col("main")).alias(f"seeks_{name}")) for name in ("one", "other"))
+    sizes = F.least("size_one", "size_other"), F.greatest("size_one", "size_other")
     apart = (F.col("root_one") != F.col("root_other")) & (~F.col("seeks_other") | (F.col("one") < F.col("other")))
-    due = ~F.arrays_overlap("before_one", "before_other")
-    return one.join(other, "run").where(apart & (most >= least) & due).select("one", "other").distinct()
+    pairs = one.where("seeks_one").join(other, "run").where(apart & (sizes[0] >= sizes[1] * similarity - 1e-9))
+    least = (F.col("size_one") + F.col("size_other")) * similarity / (1 + similarity) - 1e-9
+    beyond = F.ceil(sizes[1] * similarity - 1e-9) - 1
+    # one of a pair may seek at one k-mer and the other at another
+    met = pairs.groupBy(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).agg(
+        F.count(F.lit(1)).alias("n"), F.first(least).alias("least"), F.first(beyond).alias("beyond"))
+    return met.where(F.col("n") + F.col("beyond") >= F.col("least")).select("one", "other")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -310,7 +379,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def seqs_of(members: DataFrame) -> DataFrame:
         return of_texts(texts.join(members.toDF("number"), "number"), "seq")
 
-    roots = components(linked_texts(of_texts(texts, "keys"), seqs_of, similarity))
+    mark = F.xxhash64("node").alias("mark")
+    roots = components(linked_texts(
+        of_texts(texts, "keys"), seqs_of, worded.select(mark, "seq"), texts.select(mark, F.col("number").alias("node")),
+        similarity))
     placed = texts.join(
         roots.select(F.col("node").alias("number"), "root"), "number", "left").withColumn("root", F.coalesce("root", "number"))
     first = F.min(F.struct("doc_id", "node"))

@@ -82,6 +82,24 @@ def test_near_copies_find_all_similar_texts(spark, monkeypatch):
     assert all(want[a] == want[b] for a in found for b in found if found[a] == found[b] and a < b)
 
 
+def test_near_copies_join_every_pair_at_the_similarity(spark, monkeypatch):
+    """A text and the same over and over share few sketches, but all k-mers. Phrases of many texts, and copies, change nothing."""
+    monkeypatch.setattr(near_copies, "COMMON", 2)
+    texts = []
+    for group in range(30):
+        base = words_of(f"near {group}")[:60] + words_of(f"phrase {group % 3}")[:20]
+        texts += [base, edited(base, 2, group), base[:30] * 2, base[:30] * 20]
+    docs = spark.createDataFrame(
+        [(n, " ".join(words)) for n, words in enumerate(texts + texts[:20])], "doc_id bigint, text string")
+    found = {row.doc_id: row.class_id for row in near_copies.classes(docs).collect()}
+    hashes = [near_copies._wide(near_copies._narrow(Words([" ".join(words).encode()]).hashes[0])) for words in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+            if near_copies.aligned_share(hashes[a], hashes[b]) >= near_copies.SIMILARITY]
+    assert {(a, a + 1) for a in range(2, len(texts), 4)} <= set(near)
+    assert {n: found[n] for n in range(len(texts))} == unioned(near, range(len(texts)))
+    assert all(found[len(texts) + n] == found[n] for n in range(20))
+
+
 def test_alignment_needs_order():
     words = Words([" ".join(words_of("a")).encode()]).hashes[0]
     moved = np.concatenate((words[60:], words[:60]))
