@@ -12,7 +12,7 @@ whose members are then in one component are closed. In the others the busiest me
 those of up to ``SMALL`` components align these with each other.
 
 Sketches miss some pairs, so an exact join by distinct k-mers follows, over all texts. Each text's k-mers have
-one order, by hash, but those of more than ``COMMON`` texts come last. Two sets of the similarity must share k-mers
+one order, by hash, but the most frequent of those among the first of more than ``COMMON`` texts come last. Two sets of the similarity must share k-mers
 among the first fifth, and their number bounds what they can share in all. Only texts in different
 components meet, and the pairs that may reach the similarity are aligned too: no link between components is lost.
 
@@ -33,7 +33,6 @@ from pyspark.sql.types import BinaryType
 
 from lakeline.llm.graph import components
 from lakeline.llm.words import Words, mixed, raw, slices
-from lakeline.operators.joins import lookup_join
 from lakeline.operators.tables import unused
 from lakeline.session import Scratch, stored
 from lakeline.sources.files import table
@@ -45,8 +44,9 @@ SKETCHES = 24
 SMALL = 64
 #: Text hashed at a time; the arrays are a few dozen times as large.
 BLOCK_BYTES = 1 << 18
-#: A k-mer among the first of more texts than this comes last in the order.
+#: A k-mer among the first of more texts than this comes last in the order, if it is one of the ``LATE`` most frequent.
 COMMON = 32
+LATE = 1 << 16
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -261,80 +261,59 @@ def linked_texts(
     return links.union(last.where("linked").select("a", "b"))
 
 
-_RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32()), ("fresh", pa.bool_())])
+_RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32())])
 
 
-def first_runs(runs: np.ndarray, similarity: float, common: np.ndarray | None = None) -> np.ndarray:
-    """Of a text's distinct k-mers, sorted, those of which two texts of the similarity share at least one."""
-    if common is not None:
-        late = np.isin(runs, common)
+def first_runs(runs: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """Of a text's distinct k-mers, sorted, those of which two texts of the similarity share at least one.
+
+    Those of the sorted ``common`` come last.
+    """
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, runs), len(common) - 1)] == runs
         runs = np.concatenate((runs[~late], runs[late]))
     return runs[:len(runs) - ceil(len(runs) * similarity - 1e-9) + 1]
 
 
-def _first_runs(similarity: float):
+def _first_runs(similarity: float, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "seq", BLOCK_BYTES):
-                common = part.column("common").to_pylist() if "common" in part.schema.names else [None] * len(part)
-                marks, found, fresh, sizes = part.column("mark").to_numpy(), [], [], []
-                for seq, late in zip(part.column("seq"), common):
-                    runs = np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64)
-                    found.append(first_runs(runs, similarity, late))
-                    fresh.append(np.isin(found[-1], first_runs(runs, similarity), invert=True) if late
-                                 else np.zeros(len(found[-1]), bool))
-                    sizes.append(len(runs))
-                counts = np.fromiter(map(len, found), np.int64, len(found))
+                runs = [np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64) for seq in part.column("seq")]
+                found = [first_runs(own, similarity, common) for own in runs]
+                counts = [len(own) for own in found]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(marks, counts)), pa.array(np.concatenate(found)),
-                    pa.array(np.repeat(sizes, counts), pa.int32()), pa.array(np.concatenate(fresh))], schema=_RUNS)
+                    pa.array(np.repeat(part.column("mark").to_numpy(), counts)), pa.array(np.concatenate(found)),
+                    pa.array(np.repeat([len(own) for own in runs], counts), pa.int32())], schema=_RUNS)
 
     return run
 
 
-def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "seq", BLOCK_BYTES >> 2):
-            found = [np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64) for seq in part.column("seq")]
-            marks = np.repeat(part.column("mark").to_numpy(), [len(runs) for runs in found])
-            yield pa.RecordBatch.from_pydict({"mark": pa.array(marks), "run": pa.array(np.concatenate(found))})
-
-
 def rare_runs(seqs: DataFrame, placed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """``run, node, root, size, main``: the first k-mers of each text that texts of several roots have among theirs.
 
     ``seqs (mark, seq)``, ``placed (mark, node, root)``; ``main`` is the root of most of a k-mer's texts. The order of
-    k-mers is the same for all texts, which makes the join exact: by hash, but ``COMMON`` ones last.
+    k-mers is the same for all texts, which makes the join exact, whichever come last. At most ``LATE`` reach the driver.
     """
-    kind = "mark bigint, run bigint, size int, fresh boolean"
-    rows = seqs.select("mark", "seq").mapInArrow(_first_runs(similarity), kind).drop("fresh")
-    shared = scratch.keep(_shared(rows), "shared")
-    common = scratch.keep(shared.where(F.col("often") > COMMON).groupBy("run").agg(
-        F.first("often").alias("often")), "common")
-    # texts with a common k-mer among the first get others; the rest keep theirs
-    held = scratch.keep(shared.where(F.col("often") > COMMON).select("mark").distinct(), "held")
-    late = lookup_join(seqs.join(held, "mark", "left_semi").mapInArrow(_all_runs, "mark bigint, run bigint"),
-                       common, "run", "often", "mark")
-    late = scratch.keep(late.groupBy("mark").agg(F.collect_set("run").alias("common")), "late")
-    moved = scratch.keep(seqs.join(late, "mark").select("mark", "seq", "common").mapInArrow(
-        _first_runs(similarity), kind).distinct(), "moved")
-    # a k-mer that a text gets may be one that another has had alone
-    gained = scratch.keep(moved.where("fresh").select("run").distinct(), "gained")
-    others = rows.join(gained, "run", "left_semi").union(shared.select("mark", "run", "size"))
-    kept = _shared(others.join(held, "mark", "left_anti").union(moved.drop("fresh")))
-    kept = scratch.keep(kept.join(placed, "mark").select("run", "node", "root", "size"), "kept")
+    def rows(common: np.ndarray) -> DataFrame:
+        return seqs.select("mark", "seq").mapInArrow(_first_runs(similarity, common), "mark bigint, run bigint, size int")
+
+    often = rows(np.zeros(0, np.int64)).groupBy("run").agg(F.count(F.lit(1)).alias("often"))
+    most = often.where(F.col("often") > COMMON).orderBy(F.desc("often"), "run").limit(LATE).select("run").collect()
+    common = np.sort(np.array([row.run for row in most], np.int64))
+    kept = scratch.keep(_shared(rows(common)).join(placed, "mark").select("run", "node", "root", "size"), "kept")
     roots = kept.groupBy("run", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed_runs = roots.groupBy("run").agg(
+    several = roots.groupBy("run").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("n", "root")).getField("root").alias("main")).where("n > 1")
-    first = scratch.keep(kept.join(mixed_runs.select("run", "main"), "run"), "first")
-    scratch.drop("shared", "common", "held", "late", "moved", "gained", "kept")
+    first = scratch.keep(kept.join(several.select("run", "main"), "run"), "first")
+    scratch.drop("kept")
     return first
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The different ``rows (mark, run, size)`` whose run several marks have, with ``often``, their number."""
+    """The different ``rows (mark, run, size)`` whose run several marks have."""
     by_run = rows.repartition("run").dropDuplicates(["run", "mark"])
-    return by_run.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("often > 1")
+    return by_run.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("often > 1").drop("often")
 
 
 def sharing(first: DataFrame, similarity: float) -> DataFrame:
@@ -377,7 +356,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return worded.join(wanted, first).select(F.col("number").alias("node"), column).dropDuplicates(["node"])
 
     def seqs_of(members: DataFrame) -> DataFrame:
-        return of_texts(texts.join(members.toDF("number"), "number"), "seq")
+        # stored, so that Spark knows its size: the texts are shuffled only if very many are asked for
+        return of_texts(stored(texts.join(members.toDF("number"), "number"), "wanted"), "seq")
 
     mark = F.xxhash64("node").alias("mark")
     roots = components(linked_texts(
