@@ -6,13 +6,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import LDA, GaussianMixture, GaussianMixtureModel, KMeans
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.functions import vectors as vx
-from lakeline.session import cached, shared_root
+from lakeline.operators.topics import fit_lda, lda_quality, topic_mixture, topic_terms  # noqa: F401
+from lakeline.session import cached
 
 
 def fit_kmeans(df: DataFrame, k: int = 2, seed: int = 1, features: str = "features"):
@@ -56,51 +56,6 @@ def kmeans_wssse(
     return sums.agg(F.sum("wssse").alias("wssse"))
 
 
-def fit_lda(
-    df: DataFrame, k: int = 10, max_iter: int = 20, seed: int = 1, features: str = "features"
-):
-    """Topics of count vectors."""
-    shared_root(df.sparkSession)
-    with cached(df.select(features)) as rows:
-        return LDA(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(rows)
-
-
-def topic_terms(model, terms: DataFrame, top: int = 4) -> DataFrame:
-    """``(topic, place, term, weight)`` of each topic's heaviest terms; ``terms`` has ``pos`` and ``term``."""
-    rows = model.describeTopics(top).select(
-        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t")
-    ).select("topic", "place", F.col("t.termIndices").alias("pos"), F.col("t.termWeights").alias("weight"))
-    # k times top rows
-    return terms.join(F.broadcast(rows), "pos").select("topic", "place", "term", "weight")
-
-
-def topic_mixture(model, df: DataFrame, row_id: str) -> DataFrame:
-    """``(id, topic, weight)``: what share of a row each topic has; the shares of a row add up to 1.
-
-    A row without any term says nothing about topics: its shares are even.
-    """
-    out, k = model.getTopicDistributionCol(), model.getOrDefault("k")
-    shares = vector_to_array(out)
-    even = F.array_repeat(F.lit(1.0 / k), k)
-    known = F.exists(shares, lambda share: share > 0)
-    mixed = model.transform(df).select(row_id, F.when(known, shares).otherwise(even).alias("shares"))
-    return mixed.select(row_id, F.posexplode("shares").alias("topic", "weight"))
-
-
-def lda_quality(model, df: DataFrame) -> DataFrame:
-    """Bounds on log likelihood and log perplexity of a corpus of sparse counts, in one row.
-
-    The perplexity is minus the likelihood over the number of tokens, which is summed over the stored entries.
-    """
-    with cached(df.select(model.getFeaturesCol())) as rows:
-        likelihood = float(model.logLikelihood(rows))
-        tokens = rows.agg(F.sum(vx.sparse_sum(F.col(model.getFeaturesCol())))).first()[0]
-    values = (likelihood, -likelihood / tokens)
-    return df.sparkSession.createDataFrame(
-        [values], "log_likelihood double, log_perplexity double"
-    )
-
-
 def fit_gaussian_mixture(df: DataFrame, k: int = 2, seed: int = 1, features: str = "features"):
     """A mixture of ``k`` normal distributions over all dimensions.
 
