@@ -7,8 +7,8 @@ checks for the first two kinds and an assignment (``token = ``, ``password=``) f
 held-out spans each kind gets the lowest threshold with ``PRECISION``. A kind without one adds nothing.
 Spans found by the strict patterns always stay; a proposal that overlaps one is not added.
 
-Null and empty texts have no spans. Places are code points, ends exclusive. At most ``SAMPLE_DOCS``
-documents and ``SAMPLE_SPANS`` spans, those of least hash, are used for learning.
+Null and empty texts have no spans. Places are code points, ends exclusive. The spans of all documents are learned
+from: two thirds of them, by hash, by the trees, the others by the thresholds.
 """
 
 from __future__ import annotations
@@ -27,11 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakeline.llm.boosting import Boosted, fit, threshold
+from lakeline.llm.boosting import Boosted, binned, fit_table, lowest_levels, quantile_cuts
+from lakeline.session import stored
 from lakeline.sources.files import table
 
-SAMPLE_DOCS = 4000
-SAMPLE_SPANS = 20_000
 PRECISION = 0.98
 LEAST_HELD_OUT = 20
 KINDS = ["email", "ip", "card", "phone"]
@@ -148,40 +147,42 @@ class Model(NamedTuple):
     limits: dict[str, float]
 
 
-_LEARNING = pa.schema([("order", pa.int64()), ("truth", pa.bool_()), ("values", pa.list_(pa.float64()))])
+_LEARNING = pa.schema([
+    ("held", pa.bool_()), ("truth", pa.bool_()), ("kind", pa.int32()), ("values", pa.list_(pa.float64()))])
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            rows, base = [], strict(text)
+            base = strict(text)
             for span in proposals(text):
                 mark = hashlib.blake2b(f"{doc_id} {span}".encode(), digest_size=7).digest()
-                rows.append({"order": int.from_bytes(mark, "little"), "truth": _weak_label(text, span, base),
-                             "values": list(map(float, features(text, span)))})
-            if rows:
+                rows.append({"held": int.from_bytes(mark, "little") % 3 == 0, "truth": _weak_label(text, span, base),
+                             "kind": PROPOSED.index(span.kind), "values": list(map(float, features(text, span)))})
+            if len(rows) >= 1000:
                 yield pa.RecordBatch.from_pylist(rows, schema=_LEARNING)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_LEARNING)
 
 
 def learn(docs: DataFrame) -> Model | None:
-    """Trees and thresholds from ``docs (doc_id, text)``; None if there is nothing to tell apart."""
+    """Trees and thresholds from all spans of ``docs (doc_id, text)``; None if there is nothing to tell apart."""
     texts = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "CAST(text AS string) AS text")
-    worth = texts.where(F.col("text").rlike("[0-9@]"))
-    chosen = worth.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(
-        SAMPLE_DOCS).distinct()
-    rows = worth.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        _examples, "order bigint, truth boolean, values array<double>").orderBy("order").limit(SAMPLE_SPANS).toPandas()
-    truth = rows["truth"].to_numpy(float)
-    if len(rows) < 3 * LEAST_HELD_OUT or truth.min() == truth.max():
+    rows = stored(texts.where(F.col("text").rlike("[0-9@]")).mapInArrow(
+        _examples, "held boolean, truth boolean, kind int, values array<double>"), "span-examples")
+    size = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("values")).alias("width"),
+        F.sum((~F.col("held") & F.col("truth")).cast("bigint")).alias("hits"),
+        F.sum((~F.col("held") & ~F.col("truth")).cast("bigint")).alias("others")).first()
+    if size.n < 3 * LEAST_HELD_OUT or not size.hits or not size.others:
         return None
-    values = np.array(rows["values"].tolist())
-    held = np.arange(len(rows)) % 3 == 0
-    trees = fit(values[~held], truth[~held])
-    scores, limits = trees.score(values[held]), {}
-    for number, kind in enumerate(PROPOSED):
-        own = values[held][:, 0] == number
-        limits[kind] = threshold(scores[own], truth[held][own], PRECISION, LEAST_HELD_OUT)
-    return Model(trees, limits)
+    cuts = quantile_cuts(rows.where("NOT held"), size.width)
+    different = stored(binned(rows, cuts), "binned-spans")
+    trees, chances = fit_table(different.where("NOT held"), cuts)
+    least = lowest_levels(different.where("held"), chances, size.width, PRECISION, LEAST_HELD_OUT)
+    return Model(trees, {kind: least.get(number, math.inf) for number, kind in enumerate(PROPOSED)})
 
 
 def spans_of(texts: list[str], model: Model | None) -> list[tuple[list[Span], list[Span]]]:
