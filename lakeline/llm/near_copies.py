@@ -12,9 +12,9 @@ whose members are then in one component are closed. In the others the busiest me
 those of up to ``SMALL`` components align these with each other.
 
 Sketches miss some pairs, so an exact join by distinct k-mers follows, over all texts. Each text's k-mers have
-one order, by hash, but the most frequent of those among the first of more than ``COMMON`` texts come last. Two sets of the similarity must share k-mers
-among the first fifth, and their number bounds what they can share in all. Only texts in different
-components meet, and the pairs that may reach the similarity are aligned too: no link between components is lost.
+one order, by hash, but the most frequent of those in about more than ``COMMON`` texts come last, the rarer of them first. Two
+sets of the similarity must share k-mers among the first fifth, and early enough that what either has left can suffice. Only texts
+in different components meet, and the pairs that may reach the similarity are aligned too: no link between components is lost.
 
 Text of fewer than five words is one k-mer. A document without any word (null, empty, white space)
 is a class of its own. Rows that share doc_id and words are one document.
@@ -44,9 +44,11 @@ SKETCHES = 24
 SMALL = 64
 #: Text hashed at a time; the arrays are a few dozen times as large.
 BLOCK_BYTES = 1 << 18
-#: A k-mer among the first of more texts than this comes last in the order, if it is one of the ``LATE`` most frequent.
+#: A k-mer in more texts than this comes last in the order, if it is one of the ``LATE`` most frequent.
 COMMON = 32
 LATE = 1 << 16
+#: K-mers are counted in one of so many texts.
+COUNTED = 8
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -253,55 +255,75 @@ def linked_texts(
     tried, links = tried.union(more), links.union(more.where("linked").select("a", "b"))
     placed = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rare_runs(seqs, scratch.keep(placed, "placed"), similarity, scratch)
-    met = sharing(first, similarity).select(*_ordered("one", "other")).distinct()
-    rest = scratch.keep(met.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    rest = scratch.keep(sharing(first, similarity).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     wanted = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
     last = scratch.keep(verified(rest, scratch.keep(seqs_of(wanted), "wanted"), similarity), "last")
     scratch.drop("placed", "first", "rest", "wanted")
     return links.union(last.where("linked").select("a", "b"))
 
 
-_RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32())])
+_RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32()), ("left", pa.int32())])
 
 
-def first_runs(runs: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+def first_runs(runs: np.ndarray, similarity: float, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """Of a text's distinct k-mers, sorted, those of which two texts of the similarity share at least one.
 
-    Those of the sorted ``common`` come last.
+    Those of the sorted ``common`` come last, by their ``ranks``.
     """
     if len(common):
-        late = common[np.minimum(np.searchsorted(common, runs), len(common) - 1)] == runs
-        runs = np.concatenate((runs[~late], runs[late]))
+        at = np.minimum(np.searchsorted(common, runs), len(common) - 1)
+        late = common[at] == runs
+        ranked = runs[late][np.argsort(ranks[at[late]])]
+        runs = np.concatenate((runs[~late], ranked))
     return runs[:len(runs) - ceil(len(runs) * similarity - 1e-9) + 1]
 
 
-def _first_runs(similarity: float, common: np.ndarray):
+def _first_runs(similarity: float, common: np.ndarray, ranks: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "seq", BLOCK_BYTES):
                 runs = [np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64) for seq in part.column("seq")]
-                found = [first_runs(own, similarity, common) for own in runs]
+                found = [first_runs(own, similarity, common, ranks) for own in runs]
                 counts = [len(own) for own in found]
+                left = [np.arange(len(own), len(own) - count, -1) for own, count in zip(runs, counts)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(part.column("mark").to_numpy(), counts)), pa.array(np.concatenate(found)),
-                    pa.array(np.repeat([len(own) for own in runs], counts), pa.int32())], schema=_RUNS)
+                    pa.array(np.repeat([len(own) for own in runs], counts), pa.int32()),
+                    pa.array(np.concatenate(left), pa.int32())], schema=_RUNS)
 
     return run
 
 
-def rare_runs(seqs: DataFrame, placed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """``run, node, root, size, main``: the first k-mers of each text that texts of several roots have among theirs.
+def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "seq", BLOCK_BYTES):
+            runs = [np.unique(shingles(_wide(seq.as_buffer()))).view(np.int64) for seq in part.column("seq")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(runs))], ["run"])
+
 
-    ``seqs (mark, seq)``, ``placed (mark, node, root)``; ``main`` is the root of most of a k-mer's texts. The order of
-    k-mers is the same for all texts, which makes the join exact, whichever come last. At most ``LATE`` reach the driver.
+def common_runs(seqs: DataFrame) -> list[int]:
+    """The most frequent k-mers, the least frequent of them first; at most ``LATE`` reach the driver.
+
+    They are counted in every ``COUNTED``-th text. That decides on an order alone, and any order gives the same links.
     """
-    def rows(common: np.ndarray) -> DataFrame:
-        return seqs.select("mark", "seq").mapInArrow(_first_runs(similarity, common), "mark bigint, run bigint, size int")
+    some = seqs.where(F.pmod("mark", F.lit(COUNTED)) == 0).select("mark", "seq").dropDuplicates(["mark"])
+    often = some.select("seq").mapInArrow(_all_runs, "run bigint").groupBy("run").agg(F.count(F.lit(1)).alias("often"))
+    most = often.where(F.col("often") * COUNTED > COMMON).orderBy(F.desc("often"), "run").limit(LATE).select("run").collect()
+    return [row.run for row in most][::-1]
+
+
+def rare_runs(seqs: DataFrame, placed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """``run, node, root, size, left, main``: the first k-mers of each text that texts of several roots have among theirs.
 
-    often = rows(np.zeros(0, np.int64)).groupBy("run").agg(F.count(F.lit(1)).alias("often"))
-    most = often.where(F.col("often") > COMMON).orderBy(F.desc("often"), "run").limit(LATE).select("run").collect()
-    common = np.sort(np.array([row.run for row in most], np.int64))
-    kept = scratch.keep(_shared(rows(common)).join(placed, "mark").select("run", "node", "root", "size"), "kept")
+    ``seqs (mark, seq)``, ``placed (mark, node, root)``; ``main`` is the root of most of a k-mer's texts and ``left`` the number
+    of the text's k-mers from this one on. The order of k-mers is the same for all texts, which makes the join exact,
+    whichever come last.
+    """
+    common = np.array(common_runs(seqs), np.int64)
+    ranks = np.argsort(common)
+    rows = seqs.select("mark", "seq").mapInArrow(
+        _first_runs(similarity, common[ranks], ranks), "mark bigint, run bigint, size int, left int")
+    kept = scratch.keep(_shared(rows).join(placed, "mark").select("run", "node", "root", "size", "left"), "kept")
     roots = kept.groupBy("run", "root").agg(F.count(F.lit(1)).alias("n"))
     several = roots.groupBy("run").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("n", "root")).getField("root").alias("main")).where("n > 1")
@@ -311,30 +333,32 @@ def rare_runs(seqs: DataFrame, placed: DataFrame, similarity: float, scratch: Sc
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The different ``rows (mark, run, size)`` whose run several marks have."""
+    """The different ``rows (mark, run, size, left)`` whose run several marks have."""
     by_run = rows.repartition("run").dropDuplicates(["run", "mark"])
     return by_run.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("often > 1").drop("often")
 
 
-def sharing(first: DataFrame, similarity: float) -> DataFrame:
-    """``one, other``: all pairs in different roots whose sets of k-mers can reach the similarity.
+def meeting(first: DataFrame, similarity: float) -> DataFrame:
+    """``one, other`` for each k-mer at which two texts in different roots meet that can reach the similarity.
 
-    ``first`` is that of ``rare_runs``. Of a pair, the text whose first k-mers end earlier in the order has all it shares up to
-    there among the first of both, so it shares these and at most those that come after.
-    At each k-mer texts outside the main root meet all others, so that pairs within that root are never made.
+    ``first`` is that of ``rare_runs``. A pair shares at most the k-mers that either text has left from the first shared one on,
+    and fewer from each later one, so it meets only at k-mers from which both have enough left. With the frequent k-mers last,
+    those are rare ones, unless the texts are nearly equal. At each k-mer texts outside the main root meet all others, so that
+    pairs within that root are never made.
     """
     one, other = (first.select(
         "run", F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("size").alias(f"size_{name}"),
-        (F.col("root") != F.col("main")).alias(f"seeks_{name}")) for name in ("one", "other"))
-    sizes = F.least("size_one", "size_other"), F.greatest("size_one", "size_other")
+        F.col("left").alias(f"left_{name}"), (F.col("root") != F.col("main")).alias(f"seeks_{name}"))
+        for name in ("one", "other"))
     apart = (F.col("root_one") != F.col("root_other")) & (~F.col("seeks_other") | (F.col("one") < F.col("other")))
-    pairs = one.where("seeks_one").join(other, "run").where(apart & (sizes[0] >= sizes[1] * similarity - 1e-9))
     least = (F.col("size_one") + F.col("size_other")) * similarity / (1 + similarity) - 1e-9
-    beyond = F.ceil(sizes[1] * similarity - 1e-9) - 1
-    # one of a pair may seek at one k-mer and the other at another
-    met = pairs.groupBy(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).agg(
-        F.count(F.lit(1)).alias("n"), F.first(least).alias("least"), F.first(beyond).alias("beyond"))
-    return met.where(F.col("n") + F.col("beyond") >= F.col("least")).select("one", "other")
+    met = one.where("seeks_one").join(other, "run").where(apart & (F.least("left_one", "left_other") >= least))
+    return met.select("one", "other")
+
+
+def sharing(first: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the different pairs of ``meeting``; one of a pair may seek at one k-mer and the other at another."""
+    return meeting(first, similarity).select(*_ordered("one", "other")).distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

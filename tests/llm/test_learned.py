@@ -100,6 +100,27 @@ def test_near_copies_join_every_pair_at_the_similarity(spark, monkeypatch):
     assert all(found[len(texts) + n] == found[n] for n in range(20))
 
 
+def test_near_copies_meet_at_rare_runs(spark):
+    """Variants of one text that are no links are not made into pairs of each with each; those at the similarity all are."""
+    from lakeline.session import Scratch
+
+    base, texts = words_of("variants") * 2, []
+    base = [f"{word}{place}" for place, word in enumerate(base)][:144]
+    for n in range(160):
+        places = random.Random(n).sample(range(0, 144, 6), 5)
+        texts.append([f"own{n}" if place in places else word for place, word in enumerate(base)])
+    texts += [[*text[:70], f"more{n}", *text[70:]] for n, text in enumerate(texts[:20])]
+    hashes = [Words([" ".join(words).encode()]).hashes[0] for words in texts]
+    seqs = spark.createDataFrame([(n, bytearray(near_copies._narrow(own))) for n, own in enumerate(hashes)], "mark bigint, seq binary")
+    placed = seqs.selectExpr("mark", "mark AS node", "mark AS root")
+    first = near_copies.rare_runs(seqs, placed, 0.8, Scratch(spark, "meeting"))
+    sets = [set(near_copies.shingles(near_copies._wide(near_copies._narrow(own))).tolist()) for own in hashes]
+    similar = {(a, b) for b in range(len(sets)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    found = {tuple(row) for row in near_copies.sharing(first, 0.8).collect()}
+    assert {(n, n + 160) for n in range(20)} <= similar <= found
+    assert near_copies.meeting(first, 0.8).count() < 10 * len(texts) and len(found) < 2 * len(texts)
+
+
 def test_alignment_needs_order():
     words = Words([" ".join(words_of("a")).encode()]).hashes[0]
     moved = np.concatenate((words[60:], words[:60]))
