@@ -34,7 +34,7 @@ from pyspark.sql.types import BinaryType
 from lakeline.llm.graph import components
 from lakeline.llm.words import Words, mixed, raw, slices
 from lakeline.operators.tables import unused
-from lakeline.session import Scratch, stored
+from lakeline.session import Scratch, small_batches, stored
 from lakeline.sources.files import table
 
 WORDS = 5
@@ -367,6 +367,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``class_id`` is the smallest doc_id of the class and ``node`` stands for a text's words. A class
     has one text, ``class_node``, whose smallest doc_id is the class id.
     """
+    small_batches(docs.sparkSession)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = stored(ids.mapInArrow(
         _prints, "doc_id bigint, node binary, seq binary, keys array<bigint>"), "prints")

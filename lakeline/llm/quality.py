@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lakeline.llm.words import Words, mixed
+from lakeline.session import small_batches
 from lakeline.sources.files import table
 
 LABELLED = 20_000
@@ -252,6 +253,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that neither the limits nor the learned rules reject."""
+    small_batches(docs.sparkSession)
     rules = decision_list(docs, labels)
     own = {name: "text" if name == "text" else f"column{at}" for at, name in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{name}`").alias(new) for name, new in own.items()])  # whatever they are called
