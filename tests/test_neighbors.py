@@ -188,3 +188,28 @@ def test_compound_join_of_copies_and_a_full_bucket(spark):
     assert rows[(0, 0)] == (150, 150)
     assert sum((i, i + 250) in rows for i in range(150, 300)) >= 148
     assert ops.compound_join(lsh, df.limit(0), df, "id", "keys", 0.2).collect() == []
+
+
+def test_keys_take_the_hashes_once(spark):
+    """What makes the hashes of a row is not worked out again for each table."""
+    a, _ = cloud(spark, 20, 4, 3)
+    lsh = ops.CompoundLSH(ops.fit_lsh(a, "keys", tables=12), 3, 4)
+    made = spark.range(2).select("id", F.transform(F.array_repeat("id", 12), lambda x: x * 7).alias("h"))
+    keys = made.select("id", lsh.keys(F.col("h")).alias("keys"))
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("array_repeat") < plan.index("slice(")
+    assert all(len(set(row.keys)) == 4 for row in keys.collect())
+
+
+def test_compound_join_shuffles_no_candidates(spark):
+    """Vectors meet in their buckets: one join, and each pair once, however many keys it shares."""
+    a, x = cloud(spark, 300, 6, 41, hot=20)
+    df = a.union(a.select((F.col("id") + 300).alias("id"), vx.as_vector(F.transform(
+        vx.vector_to_array("keys"), lambda v: v + F.col("id") * 1e-5)).alias("keys")))
+    lsh = ops.fit_compound_lsh(df, "keys", 0.4)
+    pairs = ops.compound_join(lsh, df, df, "id", "keys", 0.4, self_join=True)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Distinct" not in plan and "Aggregate" not in plan
+    rows = pairs.collect()
+    assert len(rows) == len({(r.id_a, r.id_b) for r in rows})
+    assert sum((i, i + 300) in {(r.id_a, r.id_b) for r in rows} for i in range(20, 300)) >= 270
