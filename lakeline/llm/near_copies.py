@@ -15,6 +15,7 @@ Sketches miss some pairs, so an exact join by distinct k-mers follows, over all
 one order, by hash, but the most frequent of those in about more than ``COMMON`` texts come last, the rarer of them first. Two
 sets of the similarity must share k-mers among the first fifth, and early enough that what either has left can suffice. Only texts
 in different components meet, and the pairs that may reach the similarity are aligned too: no link between components is lost.
+Before their texts travel, pairs are compared by outlines, counts of k-mers in ``BINS`` bins, which bound from above what two texts share.
 
 Text of fewer than five words is one k-mer. A document without any word (null, empty, white space)
 is a class of its own. Rows that share doc_id and words are one document.
@@ -49,6 +50,8 @@ COMMON = 32
 LATE = 1 << 16
 #: K-mers are counted in one of so many texts.
 COUNTED = 8
+#: Bins of an outline, a byte each.
+BINS = 256
 
 _SEEDS = np.random.default_rng(7919).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -141,8 +144,25 @@ def _narrow(words: np.ndarray) -> bytes:
     return (words >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
+def outline(words: np.ndarray) -> np.ndarray:
+    """How many distinct k-mers fall in each of ``BINS`` bins; 255 stands for any larger number too."""
+    bins = np.unique(shingles(words)) % np.uint64(BINS)
+    return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+
+
+def may_reach(left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """For each pair of outlines: can the texts share enough k-mers? No pair that ``aligned_share`` finds similar is denied.
+
+    Two texts share at most the lesser count of each bin. Sizes from counts cut at 255 are too small, which lets more through.
+    """
+    shared = np.minimum(left, right).sum(1, dtype=np.int64)
+    sizes = left.sum(1, dtype=np.int64) + right.sum(1, dtype=np.int64)
+    unknown = ((left == 255) & (right == 255)).any(1)
+    return unknown | (shared >= sizes * similarity / (1 + similarity) - 1e-9)
+
+
 _PRINTS = pa.schema([
-    ("doc_id", pa.int64()), ("node", pa.binary()), ("seq", pa.binary()),
+    ("doc_id", pa.int64()), ("node", pa.binary()), ("seq", pa.binary()), ("outline", pa.binary()),
     ("keys", pa.list_(pa.int64())),
 ])
 
@@ -152,14 +172,17 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text", BLOCK_BYTES):
             texts = Words(raw(part.column("text")), seeds=2)
             whole = np.stack([texts.whole(0), texts.whole(1)], 1)
-            rows: list[list] = [[], [], [], []]
+            rows: list[list] = [[], [], [], [], []]
             for row, doc_id in enumerate(part.column("doc_id").to_pylist()):
                 first, last = texts.first[row], texts.first[row + 1]
                 words = texts.hashes[0][first:last]
                 rows[0].append(doc_id)
                 rows[1].append(whole[row].tobytes())
-                rows[2].append(_narrow(words))
-                rows[3].append(sketch(words).view(np.int64) if len(words) else None)
+                seq = _narrow(words)
+                rows[2].append(seq)
+                # of the words that an alignment reads
+                rows[3].append(outline(_wide(seq)).tobytes())
+                rows[4].append(sketch(words).view(np.int64) if len(words) else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind.type) for column, kind in zip(rows, _PRINTS)], schema=_PRINTS)
 
@@ -184,6 +207,23 @@ def _aligned(similarity: float):
     return run
 
 
+def _promising(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, BINS)
+                           for name in ("outline_a", "outline_b"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_reach(left, right, similarity)))
+
+    return run
+
+
+def promising(pairs: DataFrame, outlines: DataFrame, similarity: float) -> DataFrame:
+    """``pairs (a, b)`` without those whose outlines show that they do not reach ``similarity``."""
+    left = pairs.join(outlines.toDF("a", "outline_a"), "a")
+    both = left.join(outlines.toDF("b", "outline_b"), "b")
+    return both.select("a", "b", "outline_a", "outline_b").mapInArrow(_promising(similarity), "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, seqs: DataFrame, similarity: float) -> DataFrame:
     """``pairs (a, b)`` with ``linked``: does the alignment reach ``similarity``?"""
     left = pairs.join(seqs.toDF("a", "seq_a"), "a")
@@ -228,20 +268,20 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
 
 
 def linked_texts(
-    keyed: DataFrame, seqs_of: Callable[[DataFrame], DataFrame], seqs: DataFrame, nodes: DataFrame,
+    keyed: DataFrame, texts_of: Callable[[DataFrame, str], DataFrame], seqs: DataFrame, nodes: DataFrame,
     similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``a, b`` links between different texts that hold each component together.
 
-    ``keyed (node, keys)`` has one row for each text; no two hash functions share a key. ``seqs_of`` gives
-    ``node, seq`` for the nodes of a table. ``seqs (mark, seq)`` holds all texts, copies too, and ``nodes (mark, node)``
+    ``keyed (node, keys)`` has one row for each text; no two hash functions share a key. ``texts_of`` gives
+    ``node`` and a column, ``seq`` or ``outline``, for the nodes of a table. ``seqs (mark, seq)`` holds all texts, copies too, and ``nodes (mark, node)``
     one row for each text: the exact join goes by marks, so that no text is shuffled for it.
     """
     scratch = Scratch(keyed.sparkSession, "links")
     members = scratch.keep(shared_keys(keyed), "members")
     leader = F.max(F.struct("degree", "node")).getField("node").alias("leader")
     pairs = members.join(members.groupBy("key").agg(leader), "key").where("node <> leader")
-    own = scratch.keep(seqs_of(members.select("node").distinct()), "seqs")
+    own = scratch.keep(texts_of(members.select("node").distinct(), "seq"), "seqs")
     tried = scratch.keep(verified(pairs.select(*_ordered("node", "leader")).distinct(), own, similarity), "tried")
     links = tried.where("linked").select("a", "b")
 
@@ -255,13 +295,18 @@ def linked_texts(
     tried, links = tried.union(more), links.union(more.where("linked").select("a", "b"))
     placed = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rare_runs(seqs, scratch.keep(placed, "placed"), similarity, scratch)
-    rest = scratch.keep(sharing(first, similarity).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    wanted = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
-    last = scratch.keep(verified(rest, scratch.keep(seqs_of(wanted), "wanted"), similarity), "last")
-    scratch.drop("placed", "first", "rest", "wanted")
+    met = scratch.keep(sharing(first, similarity).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "met")
+    rest = scratch.keep(promising(met, scratch.keep(texts_of(_ends(met), "outline"), "outlines"), similarity), "rest")
+    last = scratch.keep(verified(rest, scratch.keep(texts_of(_ends(rest), "seq"), "wanted"), similarity), "last")
+    scratch.drop("placed", "first", "met", "outlines", "rest", "wanted")
     return links.union(last.where("linked").select("a", "b"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The different nodes of ``pairs (a, b)``."""
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 _RUNS = pa.schema([("mark", pa.int64()), ("run", pa.int64()), ("size", pa.int32()), ("left", pa.int32())])
 
 
@@ -369,25 +414,24 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = stored(ids.mapInArrow(
-        _prints, "doc_id bigint, node binary, seq binary, keys array<bigint>"), "prints")
+    found = ids.mapInArrow(_prints, "doc_id bigint, node binary, seq binary, outline binary, keys array<bigint>")
+    prints = stored(found.withColumn("row", F.monotonically_increasing_id()), "prints")
     worded = prints.where(F.col("keys").isNotNull())
-    texts = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id")).withColumn(
-        "number", F.monotonically_increasing_id()), "texts")
+    # a text goes by the number of one of its rows
+    texts = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("number")), "texts")
 
     def of_texts(wanted: DataFrame, column: str) -> DataFrame:
-        """``node, column`` of each text, by number; texts are told by their first row."""
-        first = worded["node"].eqNullSafe(wanted["node"]) & worded["doc_id"].eqNullSafe(wanted["doc_id"])
-        return worded.join(wanted, first).select(F.col("number").alias("node"), column).dropDuplicates(["node"])
+        """``node, column`` of each text of ``wanted (number)``."""
+        return worded.join(wanted, worded["row"] == wanted["number"]).select(F.col("number").alias("node"), column)
 
-    def seqs_of(members: DataFrame) -> DataFrame:
+    def texts_of(members: DataFrame, column: str) -> DataFrame:
         # stored, so that Spark knows its size: the texts are shuffled only if very many are asked for
-        return of_texts(stored(texts.join(members.toDF("number"), "number"), "wanted"), "seq")
+        return of_texts(stored(members.toDF("number"), "wanted"), column)
 
     mark = F.xxhash64("node").alias("mark")
     roots = components(linked_texts(
-        of_texts(texts, "keys"), seqs_of, worded.select(mark, "seq"), texts.select(mark, F.col("number").alias("node")),
-        similarity))
+        of_texts(texts.select("number"), "keys"), texts_of, worded.select(mark, "seq"),
+        texts.select(mark, F.col("number").alias("node")), similarity))
     placed = texts.join(
         roots.select(F.col("node").alias("number"), "root"), "number", "left").withColumn("root", F.coalesce("root", "number"))
     first = F.min(F.struct("doc_id", "node"))
@@ -415,10 +459,16 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     found = classes(docs, similarity)
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))
-    own = [unused(docs, name) for name in ("id", "node")]
-    stay = found.where(~F.col("wordless") & stays).select(
-        F.col("doc_id").alias(own[0]), F.col("node").alias(own[1])).distinct()
+    own = [unused(docs, name) for name in ("id", "node", "rows")]
+    stay = stored(found.where(~F.col("wordless") & stays).groupBy(
+        F.col("doc_id").alias(own[0]), F.col("node").alias(own[1])).agg(F.count(F.lit(1)).alias(own[2])), "stay")
     marked = docs.withColumn(own[1], _node("text"))
     near = marked["doc_id"].eqNullSafe(stay[own[0]]) & (marked[own[1]] == stay[own[1]])
-    kept = marked.where(F.col(own[1]).isNotNull()).join(stay, near, "left_semi").dropDuplicates(["doc_id", own[1]])
-    return kept.union(marked.where(F.col(own[1]).isNull())).select(*docs.columns)
+    kept = marked.join(stay, near, "left").where(marked[own[1]].isNull() | (stay[own[2]] == 1)).select(
+        *(marked[name] for name in docs.columns))
+    several = stay.where(F.col(own[2]) > 1)
+    if several.isEmpty():
+        return kept
+    # whole rows are shuffled once more only where some share doc_id and words
+    near = marked["doc_id"].eqNullSafe(several[own[0]]) & (marked[own[1]] == several[own[1]])
+    return kept.union(marked.join(several, near, "left_semi").dropDuplicates(["doc_id", own[1]]).select(*docs.columns))

@@ -121,6 +121,38 @@ def test_near_copies_meet_at_rare_runs(spark):
     assert near_copies.meeting(first, 0.8).count() < 10 * len(texts) and len(found) < 2 * len(texts)
 
 
+def test_near_copies_outlines_deny_no_similar_pair(spark):
+    pick = np.random.default_rng(8)
+    words = [pick.integers(1, 2**62, size).astype(np.uint64) for size in (4, 30, 400, 3000)]
+    pairs = [(own, own) for own in words]
+    for own in words[1:]:
+        for share in (0.005, 0.02, 0.05, 0.3):
+            changed = own.copy()
+            changed[pick.random(len(own)) < share] = 1
+            pairs += [(own, changed), (own, own[:int(len(own) * (1 - share))])]
+    pairs += [(words[2], np.concatenate((words[2][:40], words[1]))), (words[3], words[3][::-1].copy())]
+    near = [near_copies.aligned_share(a, b) >= near_copies.SIMILARITY for a, b in pairs]
+    outlines = [np.stack([near_copies.outline(text) for text in side]) for side in zip(*pairs)]
+    may = near_copies.may_reach(*outlines, near_copies.SIMILARITY)
+    assert any(near) and may[near].all() and not may[-2:].any()
+    # counts beyond a byte say nothing
+    long = [pick.integers(1, 2**62, 90_000).astype(np.uint64) for _ in range(2)]
+    assert near_copies.may_reach(*(near_copies.outline(text)[None] for text in long), 0.8).all()
+
+    nodes = spark.createDataFrame([(n, bytearray(near_copies.outline(own).tobytes())) for n, own in enumerate(
+        [*words, words[3]])], "node bigint, outline binary")
+    met = spark.createDataFrame([(2, 3), (3, 4), (0, 1)], "a bigint, b bigint")
+    assert [tuple(row) for row in near_copies.promising(met, nodes, 0.8).collect()] == [(3, 4)]
+
+
+def test_near_copies_shuffle_whole_rows_once(spark):
+    docs = spark.createDataFrame([(n, f"some words of text {n // 2} that are here " * 4) for n in range(8)], "doc_id bigint, text string")
+    kept = near_copies.keep_one(docs)
+    # an aggregate over rows takes the first text of each group
+    assert "first(text" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(row.doc_id for row in kept.collect()) == [0, 2, 4, 6]
+
+
 def test_alignment_needs_order():
     words = Words([" ".join(words_of("a")).encode()]).hashes[0]
     moved = np.concatenate((words[60:], words[:60]))
