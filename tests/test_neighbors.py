@@ -213,3 +213,28 @@ def test_compound_join_shuffles_no_candidates(spark):
     rows = pairs.collect()
     assert len(rows) == len({(r.id_a, r.id_b) for r in rows})
     assert sum((i, i + 300) in {(r.id_a, r.id_b) for r in rows} for i in range(20, 300)) >= 270
+
+
+@pytest.mark.parametrize("self_join", [True, False])
+def test_compound_join_ships_a_row_once_a_block(spark, monkeypatch, self_join):
+    """However many tables there are, and the same pairs with many blocks in several rounds."""
+    a, x = cloud(spark, 240, 6, 51, hot=20)
+    b = a if self_join else cloud(spark, 90, 6, 52)[0]
+    a = a.select(F.when(F.col("id") != 30, F.col("id")).alias("id"), "keys")
+    lsh = ops.CompoundLSH(ops.fit_lsh(a, "keys", bucket_length=0.8, tables=60), 2, 30)
+    join = lambda: ops.compound_join(lsh, a, b, "id", "keys", 0.9, self_join=self_join)
+    one = join()
+    assert "posexplode" not in one._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(ops, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(ops, "ROUND", 4)
+    sort = lambda rows: sorted(rows, key=str)
+    assert sort(one.collect()) == sort(join().collect())
+    shared = {r.id: set(r.k) for df in (a, b) for r in lsh.model.transform(df).select(
+        "id", lsh.keys(ops._hashes(lsh.model)).alias("k")).collect()}
+    rows = one.where("id_a IS NOT NULL AND id_a != id_b" if self_join else "id_a IS NOT NULL").collect()
+    assert len(rows) == len({(r.id_a, r.id_b) for r in rows}) > 20
+    if self_join:
+        gaps = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+        truth = {(i, j) for i in range(240) for j in range(i + 1, 240)
+                 if gaps[i, j] < 0.9 and shared.get(i, set()) & shared.get(j, set()) and 30 not in (i, j) and not 0 < i < 20 and not 0 < j < 20}
+        assert {(r.id_a, r.id_b) for r in rows} == truth
