@@ -6,6 +6,7 @@ from pyspark.ml.clustering import LDA
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from lakeline.operators import features as ft
 from lakeline.operators import topics as ops
 
 SIZE = 60
@@ -68,3 +69,48 @@ def test_special_functions():
     assert np.allclose((ops.log_gamma(x + step) - ops.log_gamma(x - step)) / (2 * step), ops.digamma(x), rtol=1e-4, atol=1e-4)
     assert np.allclose((ops.digamma(x + step) - ops.digamma(x - step)) / (2 * step), ops.trigamma(x), rtol=1e-3)
     assert abs(ops.digamma(1.0) + 0.5772156649015329) < 1e-9 and np.allclose(ops.log_gamma(np.array([1.0, 2.0, 5.0])), [0, 0, np.log(24)])
+
+
+def test_shares_of_rows_of_all_lengths():
+    """Rows that are filled up get what each gets on its own."""
+    rng = np.random.default_rng(3)
+    sizes = np.append(rng.integers(1, 90, 40), [1, 700])
+    owner, alpha = np.repeat(np.arange(len(sizes)), sizes), np.array([0.1, 0.3, 0.5])
+    block = ops._Block(np.arange(len(sizes)), owner, owner, rng.integers(1, 5, len(owner)).astype(float),
+                       np.log(rng.dirichlet(np.ones(3), len(owner))))
+    found = ops._shares(block, alpha)
+    for row in range(len(sizes)):
+        beta, n, now = np.exp(block.log_beta[owner == row]), block.n[owner == row], np.ones(3)
+        while True:
+            theta = np.exp(ops.digamma(now) - ops.digamma(now.sum()))
+            before, now = now, theta * (beta.T @ (n / (beta @ theta + 1e-100))) + alpha
+            if np.abs(now - before).mean() <= 1e-3:
+                break
+        assert np.allclose(found[row], now, rtol=1e-9)
+
+
+def test_the_tail_is_not_written_each_turn(spark, corpus, monkeypatch):
+    written, keep = [], ops.Scratch.keep
+    monkeypatch.setattr(ops.Scratch, "keep", lambda self, df, name: written.append(name) or keep(self, df, name))
+    monkeypatch.setattr(ops, "DRAWN", 8)
+    monkeypatch.setattr(ops, "HEAD", 8)
+    monkeypatch.setattr(ops, "SHARE", 0.3)
+    model = ops.fit_lda(corpus, k=2, max_iter=7)
+    assert [name for name in written if name.isdigit()] == ["5", "7"]
+    assert model.tail.count() == SIZE - 8 and not model.tail.storageLevel.useMemory
+
+
+def test_text_does_not_travel_with_the_counts(spark):
+    df = spark.createDataFrame([(1, ["a", "b"], "long"), (2, [], "text"), (3, ["a"], None)], "id int, words array<string>, text string")
+    index = ft.fit_count_vectorizer(df, "id", "words", vocab_size=None)
+    assert index.transform(df, "id").columns == ["id", "counts"] and index.transform(df).columns == ["id", "words", "text", "counts"]
+    assert sorted(map(str, index.transform(df, "id").collect())) == sorted(map(str, index.transform(df).select("id", "counts").collect()))
+
+
+def test_rows_are_counted_once(spark, monkeypatch):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, ["a"])], "id int, words array<string>")
+    calls, rows = [], ft.term_rows
+    monkeypatch.setattr(ft, "term_rows", lambda *a: calls.append(a) or rows(*a))
+    index = ft.fit_count_vectorizer(df, "id", "words", vocab_size=None)
+    same = index.transform(df, "id").collect()
+    assert len(calls) == 1 and sorted(map(str, same)) == sorted(map(str, index.transform(df.select("*"), "id").collect()))
